@@ -8,29 +8,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lendspark.sources.readers import spread
+
 # The test data starts in 1995 and ends in 2001, so the split falls in between.
 FIXTURE_CUTOFF = "1999-07-01"
 
 LOANS = """
 SELECT o_orderkey AS id,
-  CAST(floor(o_totalprice / 12.5) AS DOUBLE) AS loan_amnt,
+  CAST(floor(o_totalprice / 125e-1) AS DOUBLE) AS loan_amnt,
   CASE WHEN o_orderkey % 3 = 0 THEN 60 ELSE 36 END AS term,
-  CAST(5.0 + (o_orderkey % 101) * 0.25 AS DOUBLE) AS int_rate,
-  CAST(floor(o_totalprice / 400.0) AS DOUBLE) AS installment,
+  5e0 + (o_orderkey % 101) * 25e-2 AS int_rate,
+  CAST(floor(o_totalprice / 4e2) AS DOUBLE) AS installment,
   substring('ABCDEFG', CAST(1 + o_orderkey % 7 AS INT), 1) AS grade,
   concat(substring('ABCDEFG', CAST(1 + o_orderkey % 7 AS INT), 1), substring('12345', CAST(1 + o_custkey % 5 AS INT), 1)) AS sub_grade,
   CASE WHEN o_orderkey % 16 = 0 THEN NULL WHEN o_custkey % 11 = 0 THEN '< 1 year' WHEN o_custkey % 11 = 10 THEN '10+ years' ELSE concat(CAST(o_custkey % 11 AS VARCHAR(2)), ' years') END AS emp_length,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'MORTGAGE' WHEN 'HOUSEHOLD' THEN 'OWN' WHEN 'AUTOMOBILE' THEN 'RENT' WHEN 'MACHINERY' THEN 'ANY' ELSE 'RENT' END AS home_ownership,
-  CASE WHEN o_orderkey % 500 = 7 THEN NULL ELSE CAST(floor((c_acctbal + 1000.0) * 15.0) AS DOUBLE) END AS annual_inc,
+  CASE WHEN o_orderkey % 500 = 7 THEN NULL ELSE CAST(floor((c_acctbal + 1e3) * 15e0) AS DOUBLE) END AS annual_inc,
   CASE o_orderkey % 3 WHEN 0 THEN 'Verified' WHEN 1 THEN 'Source Verified' ELSE 'Not Verified' END AS verification_status,
   lower(substring(o_orderpriority, 3)) AS purpose,
-  CASE WHEN o_orderkey % 200 = 3 THEN NULL WHEN o_orderkey % 200 = 4 THEN -1.0 WHEN o_orderkey % 200 = 5 THEN 999.0 ELSE CAST((o_orderkey % 97) * 0.5 AS DOUBLE) END AS dti,
+  CASE WHEN o_orderkey % 200 = 3 THEN NULL WHEN o_orderkey % 200 = 4 THEN -1e0 WHEN o_orderkey % 200 = 5 THEN 999e0 ELSE (o_orderkey % 97) * 5e-1 END AS dti,
   CASE WHEN o_orderkey % 300 = 11 THEN NULL ELSE CAST(o_custkey % 4 AS INT) END AS delinq_2yrs,
   CAST(o_custkey % 6 AS INT) AS inq_last_6mths,
   CAST(1 + o_custkey % 30 AS INT) AS open_acc,
   CAST(o_orderkey % 2 AS INT) AS pub_rec,
-  CAST(floor(o_totalprice / 20.0) AS BIGINT) AS revol_bal,
-  CASE WHEN o_orderkey % 250 = 9 THEN NULL ELSE CAST((o_orderkey % 211) * 0.5 AS DOUBLE) END AS revol_util,
+  CAST(floor(o_totalprice / 2e1) AS BIGINT) AS revol_bal,
+  CASE WHEN o_orderkey % 250 = 9 THEN NULL ELSE (o_orderkey % 211) * 5e-1 END AS revol_util,
   CAST(2 + o_custkey % 60 AS INT) AS total_acc,
   CASE WHEN o_orderkey % 20 = 0 THEN 'Joint App' ELSE 'Individual' END AS application_type,
   CAST(610 + 5 * (o_orderkey % 47) AS INT) AS fico_range_low,
@@ -43,7 +45,7 @@ SELECT o_orderkey AS id,
        WHEN o_orderkey % 211 = 3 THEN NULL
        WHEN o_orderkey % 211 = 4 THEN 'Late (31-120 days)'
        WHEN o_orderstatus = 'P' THEN 'Current'
-       WHEN (o_orderkey * 7 + o_custkey) % 10 < 1 + (o_orderkey % 7) * 0.6 THEN 'Charged Off'
+       WHEN (o_orderkey * 7 + o_custkey) % 10 < 1 + (o_orderkey % 7) * 6e-1 THEN 'Charged Off'
        ELSE 'Fully Paid' END AS loan_status
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
@@ -85,9 +87,9 @@ FROM {loans}
 # Loans with broken keys and broken rules.
 LOANS_BROKEN = """
 SELECT CASE WHEN id % 397 = 0 THEN NULL WHEN id % 211 = 5 THEN id - 5 ELSE id END AS id,
-  CASE WHEN id % 101 = 3 THEN -1.0 * loan_amnt ELSE loan_amnt END AS loan_amnt,
+  CASE WHEN id % 101 = 3 THEN -1 * loan_amnt ELSE loan_amnt END AS loan_amnt,
   CASE WHEN id % 103 = 4 THEN 0 ELSE term END AS term,
-  CASE WHEN id % 107 = 5 THEN 100.5 ELSE int_rate END AS int_rate,
+  CASE WHEN id % 107 = 5 THEN 1005e-1 ELSE int_rate END AS int_rate,
   installment, annual_inc, revol_util,
   CASE WHEN id % 109 = 6 THEN 1e7 ELSE dti END AS dti,
   CASE WHEN id % 113 = 7 THEN -1 ELSE delinq_2yrs END AS delinq_2yrs,
@@ -100,8 +102,8 @@ FROM {loans}
 
 # Predictions made up of plain arithmetic.
 SCORES = """
-SELECT id, label, score, CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM (
-  SELECT id, label, (CAST((id * 37 + fico_range_low) % 800 AS DOUBLE) + 200.0 * label) / 1000.0 AS score FROM (
+SELECT id, label, score, CAST(CASE WHEN score >= 5e-1 THEN 1 ELSE 0 END AS DOUBLE) AS prediction FROM (
+  SELECT id, label, (CAST((id * 37 + fico_range_low) % 800 AS DOUBLE) + 2e2 * label) / 1e3 AS score FROM (
     SELECT id, fico_range_low, CAST(CASE WHEN loan_status = 'Charged Off' THEN 1 ELSE 0 END AS DOUBLE) AS label
     FROM {loans} WHERE loan_status IN ('Fully Paid', 'Charged Off')) a) b
 """
@@ -114,7 +116,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         LOANS,
-        orders=read_table(spark, sf_dir, "orders"),
+        orders=spread(read_table(spark, sf_dir, "orders")),
         customer=read_table(spark, sf_dir, "customer"),
     )
 

@@ -235,7 +235,7 @@ ORACLES["lineitem_value_counts"] = value_count_sql(
     "lineitem", ["l_returnflag", "l_linestatus", "l_linenumber"]
 )
 ORACLES["lineitem_numeric_summary"] = numeric_summary_sql(
-    "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], digits=9
+    "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], digits=8
 )
 
 BUCKET_CASES = {
@@ -348,7 +348,7 @@ def _raw_fields(*names: str) -> str:
         if name in ("issue_d", "earliest_cr_line"):
             sql = f"CAST({sql} AS VARCHAR)"
         fields.append(f"{sql} AS {name}")
-    return over(f"SELECT id AS raw_id, {', '.join(fields)} FROM raw", "raw")
+    return over(f"SELECT nullif(id, '') AS raw_id, {', '.join(fields)} FROM raw", "raw")
 
 
 ORACLES["parse_term"] = _raw_fields("term")
@@ -356,7 +356,7 @@ ORACLES["parse_mon_year"] = _raw_fields("issue_d", "earliest_cr_line")
 ORACLES["clean_numeric"] = _raw_fields("int_rate", "revol_util", "annual_inc")
 ORACLES["clean_text"] = _raw_fields("grade", "home_ownership", "emp_length")
 ORACLES["to_int"] = over(
-    f"""SELECT id AS raw_id, {FIELD["id"]} AS id, {FIELD["delinq_2yrs"]} AS delinq_2yrs,
+    f"""SELECT nullif(id, '') AS raw_id, {FIELD["id"]} AS id, {FIELD["delinq_2yrs"]} AS delinq_2yrs,
   {FIELD["revol_bal"]} AS revol_bal,
   CAST(trunc(try_cast(replace(revol_util, '%', '') AS DOUBLE)) AS BIGINT) AS util_floor
 FROM raw""",

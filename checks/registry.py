@@ -86,6 +86,35 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})
 
 
+# What a step of the flow writes or fits is shared by the queries on later steps.
+_SHARED: dict[tuple, object] = {}
+
+
+def _shared(spark, sf_dir, name, make):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SHARED:
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
+def write_raw_csv(spark, sf_dir) -> str:
+    path = scratch_path(spark, "raw-csv")
+    fx.loans_raw(spark, sf_dir).write.csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return path
+
+
+def raw_csv(spark, sf_dir) -> DataFrame:
+    """The raw loans as a CSV export has them."""
+    path = _shared(spark, sf_dir, "raw", lambda: write_raw_csv(spark, sf_dir))
+    return readers.read_raw_csv(spark, path)
+
+
 # --- reports -------------------------------------------------------------------
 
 on_loans("q1_grade", business.default_rate_by_grade)
@@ -114,14 +143,14 @@ LINEITEM_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query
 def lineitem_numeric_summary(spark, sf_dir):
-    lineitem = fx.read_table(spark, sf_dir, "lineitem")
+    lineitem = readers.spread(fx.read_table(spark, sf_dir, "lineitem"))
     summary = profile.numeric_summary(lineitem, LINEITEM_NUMBERS)
-    return rounded(summary, 9, "avg_value", "stddev_value")
+    return rounded(summary, 8, "avg_value", "stddev_value")
 
 
 @query
 def lineitem_value_counts(spark, sf_dir):
-    lineitem = fx.read_table(spark, sf_dir, "lineitem")
+    lineitem = readers.spread(fx.read_table(spark, sf_dir, "lineitem"))
     return profile.value_counts(lineitem, ["l_returnflag", "l_linestatus", "l_linenumber"])
 
 
@@ -130,18 +159,18 @@ def lineitem_value_counts(spark, sf_dir):
 
 @query
 def clean_loans(spark, sf_dir):
-    return dates_as_text(cleaning.clean_loans(fx.loans_raw(spark, sf_dir)))
+    return dates_as_text(cleaning.clean_loans(raw_csv(spark, sf_dir)))
 
 
 @query
 def clean_report(spark, sf_dir):
-    return cleaning.clean_report(fx.loans_raw(spark, sf_dir))
+    return cleaning.clean_report(raw_csv(spark, sf_dir))
 
 
 def on_raw(name: str, columns: Callable[[], dict]) -> None:
     """Some typed columns next to the id as it came."""
     QUERIES[name] = lambda spark, sf_dir: dates_as_text(
-        fx.loans_raw(spark, sf_dir).select(
+        raw_csv(spark, sf_dir).select(
             F.col("id").alias("raw_id"),
             *[column.alias(alias) for alias, column in columns().items()],
         )
@@ -218,15 +247,7 @@ def accepted_rows(spark, sf_dir):
 
 @query
 def csv_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "raw-csv")
-    fx.loans_raw(spark, sf_dir).write.csv(
-        path,
-        header=True,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
-    return readers.read_raw_csv(spark, path)
+    return readers.read_raw_csv(spark, write_raw_csv(spark, sf_dir))
 
 
 @query
@@ -370,18 +391,6 @@ def shuffled_train(spark, sf_dir):
     return preparation.shuffle_rows(balanced, ["id", "copy"]).select("id", "copy", "label")
 
 
-# The written datasets and the fitted models are shared by the queries below, as
-# they are by the steps of the flow.
-_SHARED: dict[tuple, object] = {}
-
-
-def _shared(spark, sf_dir, name, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SHARED:
-        _SHARED[key] = make()
-    return _SHARED[key]
-
-
 def training_data(spark, sf_dir) -> TrainingData:
     return _shared(
         spark,

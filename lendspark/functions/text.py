@@ -17,21 +17,20 @@ def clean_text(text: Column) -> Column:
     return F.nullif(strip(text), F.lit(""))
 
 
-def _as_double(text: Column) -> Column:
-    # Java reads '3d', '3f' and hexadecimal floats as numbers, and Spark reads
-    # 'Infinity' and 'NaN'; none of those is an amount.
-    plain = F.translate(text, "dDfFxXpPnN", "") == text
-    return F.when(plain, text.try_cast("double"))
+# Java would also take '3d', '3f' and hexadecimal floats, and Spark 'Infinity' and
+# 'NaN'; none of those is an amount.
+PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def clean_numeric(text: Column) -> Column:
     """``' 13.99%'`` to 13.99."""
-    return _as_double(strip(F.replace(text, F.lit("%"), F.lit(""))))
+    bare = F.replace(text, F.lit("%"), F.lit(""))
+    return F.when(bare.rlike(PLAIN_NUMBER), bare).try_cast("double")
 
 
 def to_int(text: Column, type_name: str = "bigint") -> Column:
     """``'3.0'`` to 3, cutting the fraction off; out of range gives NULL."""
-    return _as_double(strip(text)).try_cast(type_name)
+    return text.try_cast("decimal(38,18)").try_cast(type_name)
 
 
 def parse_term(text: Column) -> Column:

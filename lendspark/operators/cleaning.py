@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,6 @@ from lendspark.functions.text import (
     clean_text,
     parse_mon_year,
     parse_term,
-    strip,
     to_int,
 )
 
@@ -41,15 +43,13 @@ def tag_loans(raw: DataFrame) -> DataFrame:
     A row is rejected for an id that is missing or no number, and otherwise for a
     date that is filled in but cannot be read. A blank date is merely unknown.
     """
-    unreadable = F.lit(False)
-    for name in DATE_COLUMNS:
-        filled = F.coalesce(strip(F.col(name)) != "", F.lit(False))
-        unreadable = unreadable | (filled & parse_mon_year(F.col(name)).isNull())
-    reason = F.when(to_int(F.col("id")).isNull(), BAD_ID).when(unreadable, BAD_DATE)
-    return raw.select(
+    typed = raw.select(
         *[_typed(field).alias(field.name) for field in LOAN_SCHEMA],
-        reason.alias("reject_reason"),
+        *[clean_text(F.col(name)).isNotNull().alias(f"_has_{name}") for name in DATE_COLUMNS],
     )
+    unreadable = [F.col(f"_has_{name}") & F.col(name).isNull() for name in DATE_COLUMNS]
+    reason = F.when(F.col("id").isNull(), BAD_ID).when(reduce(or_, unreadable), BAD_DATE)
+    return typed.select(*LOAN_COLUMNS, reason.alias("reject_reason"))
 
 
 def clean_loans(raw: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lendspark.constants import CHARGED_OFF, FULLY_PAID
 from lendspark.functions.measures import row_count, safe_ratio
 from lendspark.operators.preparation import union_all
-from lendspark.operators.running import running_totals
+from lendspark.operators.running import key_ranges, running_totals
 
 
 def _confusion_cells(label: str, prediction: str) -> list[Column]:
@@ -58,7 +58,8 @@ def _score_counts(predictions: DataFrame, score: str, label: str, *others) -> Da
 
 def _score_curve(per_score: DataFrame) -> DataFrame:
     """Counts per score, accumulated from the highest score down."""
-    return running_totals(per_score, ["pos", "neg"], [F.col("score").desc()])
+    downwards = [F.col("score").desc()]
+    return running_totals(key_ranges(per_score, downwards), ["pos", "neg"], downwards)
 
 
 def _curve_areas(curve: DataFrame) -> DataFrame:

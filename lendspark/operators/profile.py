@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.constants import PERCENTILES, Buckets
 from lendspark.functions.buckets import bucket
 from lendspark.functions.measures import percent, row_count
-from lendspark.operators.running import running_totals
+from lendspark.operators.running import RANGE, key_ranges, range_starts
 
 
 def column_names(spark: SparkSession, names: Sequence[str], alias: str) -> DataFrame:
@@ -94,11 +94,11 @@ def distribution(df: DataFrame, buckets: Mapping[str, Buckets]) -> DataFrame:
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, value, n)``: how often each number occurs in each column."""
-    numbers = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    """``(position, value, n)``: how often each number occurs in each column."""
+    numbers = F.array(*[F.col(name).cast("double") for name in columns])
     return (
-        numbers.unpivot([], list(columns), "feature", "value")
-        .groupBy("feature", "value")
+        df.select(F.posexplode(numbers).alias("position", "value"))
+        .groupBy("position", "value")
         .agg(row_count().alias("n"))
     )
 
@@ -118,12 +118,13 @@ def numeric_summary(
     statistics follow from it, so the table itself is read once.
     """
     histogram = value_histogram(df, columns).withColumn(
-        "known", F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.col("n"))
+        "known", F.when(F.col("value").isNull(), 0).otherwise(F.col("n"))
     )
-    ranked = running_totals(histogram, ["known"], [F.col("value")], ["feature"])
+    ranges = key_ranges(histogram, [F.col("value")], ["position"])
 
+    # One row per column from here on, unless said otherwise.
     known = F.sum("known")
-    basics = ranked.groupBy("feature").agg(
+    basics = ranges.groupBy("position").agg(
         known.alias("non_null_count"),
         (F.sum("n") - known).alias("null_count"),
         F.min("value").alias("min_value"),
@@ -131,27 +132,48 @@ def numeric_summary(
         (F.sum(F.col("value") * F.col("n")) / F.nullif(known, F.lit(0))).alias("avg_value"),
     )
 
-    def at(fraction: str) -> Column:
-        rank = F.ceil(F.lit(fraction).cast("decimal(9,8)") * F.col("non_null_count"))
-        return F.min(F.when(F.col("cum_known") >= rank, F.col("value")))
+    # Per column and percentile, the one range that holds it; then only those ranges.
+    fractions = F.create_map(*[F.lit(text) for pair in percentiles.items() for text in pair])
+    rank = F.ceil(F.col("fraction").cast("decimal(9,8)") * F.col("non_null_count"))
+    located = (
+        basics.select("position", "non_null_count", F.explode(fractions).alias("name", "fraction"))
+        .select("position", "name", rank.alias("rank"))
+        .join(F.broadcast(range_starts(ranges, ["known"], ["position"])), "position")
+        .where("start_known < rank AND rank <= end_known")
+    )
+    upwards = Window.partitionBy("position", "name").orderBy("value")
+    picked = (
+        ranges.where("known > 0")
+        .join(F.broadcast(located), ["position", RANGE])
+        .withColumn("cum_known", F.col("start_known") + F.sum("known").over(upwards))
+        .where("cum_known >= rank")
+        .groupBy("position")
+        .agg(
+            *[
+                F.min(F.when(F.col("name") == name, F.col("value"))).alias(name)
+                for name in percentiles
+            ]
+        )
+    )
 
-    deviation = F.pow(F.col("value") - F.col("avg_value"), F.lit(2)) * F.col("n")
-    spread = (
-        ranked.join(F.broadcast(basics), "feature")
-        .groupBy("feature")
+    distance = F.pow(F.col("value") - F.col("avg_value"), F.lit(2)) * F.col("n")
+    deviations = (
+        ranges.join(F.broadcast(basics.select("position", "avg_value", "non_null_count")), "position")
+        .groupBy("position")
         .agg(
-            *[at(fraction).alias(name) for name, fraction in percentiles.items()],
-            F.sqrt(F.sum(deviation) / F.first(F.nullif("non_null_count", F.lit(0)))).alias(
+            F.sqrt(F.sum(distance) / F.nullif(F.first("non_null_count"), F.lit(0))).alias(
                 "stddev_value"
-            ),
+            )
         )
     )
 
-    # Both frames below hold one row per column name.
+    names = F.posexplode(F.array(*map(F.lit, columns))).alias("position", "feature")
     return (
-        column_names(df.sparkSession, columns, "feature")
-        .join(F.broadcast(basics), "feature", "left")
-        .join(F.broadcast(spread), "feature", "left")
+        df.sparkSession.range(1)
+        .select(names)
+        .join(F.broadcast(basics), "position", "left")
+        .join(F.broadcast(picked), "position", "left")
+        .join(F.broadcast(deviations), "position", "left")
         .select(
             "feature",
             F.coalesce("non_null_count", F.lit(0)).alias("non_null_count"),

@@ -1,4 +1,10 @@
-"""Running totals over a sorted table without gathering it in one place."""
+"""Running totals over a sorted table without gathering it in one place.
+
+A window over a whole group puts the group into one task. Instead the rows are cut
+into ranges of the sort key, which hold about the same number of rows each. The sums
+per range are few, and from them follows the value that each range starts with; the
+rest happens inside the ranges.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +13,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendspark.session import checkpoint_root
+from lendspark.session import scratch_path
 
+RANGE = "_range"
 
-def running_totals(
-    df: DataFrame,
-    totals: Sequence[str],
-    order_by: Sequence[Column],
-    groups: Sequence[str] = (),
-) -> DataFrame:
-    """``df`` with ``cum_<column>`` for each of ``totals``: the sum so far, inclusive.
 
-    The sum runs in the order of ``order_by`` within each of ``groups``. The sort
-    keys must be distinct within a group; aggregate by them beforehand.
+def key_ranges(df: DataFrame, order_by: Sequence[Column], groups: Sequence[str] = ()) -> DataFrame:
+    """``df`` with ``_range``, rising in sort order within each of ``groups``.
 
-    A window over the group would put it all into one task. Here the rows are cut
-    into key ranges instead, which distinct keys make even. The ranges are written
-    to the checkpoint folder so that both uses below see the same cuts. Sums per
-    range, of which there are at most partitions + groups, give the starting values
-    and are small enough to broadcast; a window per range does the rest.
+    Sort keys must be distinct within a group, or else one of them could fill a range;
+    aggregate by them beforehand. The result is written to the shared folder: all that
+    follows has to see the same cuts, also after an executor is lost.
     """
-    checkpoint_root(df.sparkSession)
+    path = scratch_path(df.sparkSession, "ranges")
     keys = [F.col(name) for name in groups] + list(order_by)
-    ranges = (
-        df.repartitionByRange(*keys)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
+    cut = df.repartitionByRange(*keys).withColumn(RANGE, F.spark_partition_id())
+    cut.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = (
-        ranges.groupBy(*groups, "_range")
-        .agg(*[F.sum(name).alias(f"_sum_{name}") for name in totals])
-        .select(
-            *groups,
-            "_range",
-            *[
-                F.coalesce(F.sum(f"_sum_{name}").over(before), F.lit(0)).alias(f"_start_{name}")
-                for name in totals
-            ],
-        )
-    )
 
-    within = Window.partitionBy(*groups, "_range").orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return ranges.join(F.broadcast(starts), [*groups, "_range"]).select(
-        *df.columns,
-        *[
-            (F.col(f"_start_{name}") + F.sum(name).over(within)).alias(f"cum_{name}")
-            for name in totals
-        ],
+def range_starts(ranges: DataFrame, totals: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
+    """Per range, ``start_<column>`` and ``end_<column>`` of each running total.
+
+    There are at most as many rows as partitions and groups together.
+    """
+    so_far = Window.partitionBy(*groups).orderBy(RANGE)
+    sums = ranges.groupBy(*groups, RANGE).agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
+    ends = {f"end_{t}": F.sum(f"_sum_{t}").over(so_far) for t in totals}
+    starts = {f"start_{t}": F.col(f"end_{t}") - F.col(f"_sum_{t}") for t in totals}
+    return sums.withColumns(ends).withColumns(starts).drop(*[f"_sum_{t}" for t in totals])
+
+
+def running_totals(
+    ranges: DataFrame,
+    totals: Sequence[str],
+    order_by: Sequence[Column],
+    groups: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of :func:`key_ranges` with ``cum_<column>``: the sum up to and with the row."""
+    starts = range_starts(ranges, totals, groups)
+    within = Window.partitionBy(*groups, RANGE).orderBy(*order_by)
+    sums = {
+        f"cum_{t}": F.col(f"start_{t}") + F.sum(t).over(within) for t in totals
+    }
+    return (
+        ranges.join(F.broadcast(starts), [*groups, RANGE])
+        .withColumns(sums)
+        .drop(RANGE, *[f"{side}_{t}" for side in ("start", "end") for t in totals])
     )

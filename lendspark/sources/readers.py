@@ -62,3 +62,14 @@ def read_source(spark: SparkSession, name_or_path: str) -> DataFrame:
         return spark.table(name_or_path)
     except (AnalysisException, ParseException):
         return spark.read.parquet(name_or_path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its files are too small to be split that far.
+
+    Files are split by size, and only down to a few megabytes. An input with fewer
+    splits than there are cores is therefore small, and moving it is cheap next to
+    leaving cores idle. Any larger input is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
