@@ -97,6 +97,12 @@ def _shared(spark, sf_dir, name, make):
     return _SHARED[key]
 
 
+def forget_models() -> None:
+    """Have the next query fit its models again."""
+    for key in [key for key in _SHARED if isinstance(key[2], tuple)]:
+        del _SHARED[key]
+
+
 def write_raw_csv(spark, sf_dir) -> str:
     path = scratch_path(spark, "raw-csv")
     fx.loans_raw(spark, sf_dir).write.csv(
