@@ -168,10 +168,10 @@ def _model_outputs(predictions: DataFrame, prefix: str) -> DataFrame:
 def join_model_outputs(sample: DataFrame, predictions: Mapping[str, DataFrame]) -> DataFrame:
     """``sample`` with the outputs of each model for the same id, NULL if it has none.
 
-    The sample is small: its ids are broadcast to pick the predictions needed, before
-    these are joined.
+    The ids of the sample first pick the predictions needed, and so which rows the
+    models score at all. Spark broadcasts them when it knows that they are few.
     """
-    ids = F.broadcast(sample.select("id"))
+    ids = sample.select("id")
     for prefix, df in predictions.items():
         wanted = _model_outputs(df.join(ids, "id", "left_semi"), prefix)
         sample = sample.join(wanted, "id", "left")

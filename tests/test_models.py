@@ -70,6 +70,21 @@ def test_search_grids_are_complete():
         assert len(maps) == 27 and all(len(m) == 3 for m in maps)
 
 
+def test_equal_combinations_are_tried_once():
+    sizes = {
+        family: len(training.param_maps(training.search_estimator(family), training.distinct_grid(grid)))
+        for family, grid in training.SEARCH_GRIDS.items()
+    }
+    assert sizes == {RANDOM_FOREST: 27, LINEAR_SVC: 9, NAIVE_BAYES: 9}
+
+
+def test_thresholds_do_not_change_the_area(data):
+    grid = {"thresholds": [[1.0, 1.0], [1.0, 2.0], [2.0, 1.0]]}
+    search = Search(grid, folds=2, skip_equal=False)
+    metrics = training.tune(NAIVE_BAYES, data.train_balanced, search).avgMetrics
+    assert metrics == pytest.approx([metrics[0]] * 3, abs=1e-12)
+
+
 @pytest.fixture(autouse=True)
 def _context(spark):
     """Estimators need a running session."""
