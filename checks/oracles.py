@@ -340,6 +340,16 @@ ORACLES["clean_report"] = over(
     "raw",
 )
 
+ORACLES["unreadable_values"] = over(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name,"
+        f" count(*) FILTER (WHERE {_stripped(name)} <> '' AND {sql} IS NULL) AS unreadable"
+        " FROM raw"
+        for name, sql in FIELD.items()
+    ),
+    "raw",
+)
+
 
 def _raw_fields(*names: str) -> str:
     fields = []

@@ -173,6 +173,11 @@ def clean_report(spark, sf_dir):
     return cleaning.clean_report(raw_csv(spark, sf_dir))
 
 
+@query
+def unreadable_values(spark, sf_dir):
+    return cleaning.unreadable_values(raw_csv(spark, sf_dir))
+
+
 def on_raw(name: str, columns: Callable[[], dict]) -> None:
     """Some typed columns next to the id as it came."""
     QUERIES[name] = lambda spark, sf_dir: dates_as_text(

@@ -67,6 +67,22 @@ def clean_report(raw: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_values(raw: DataFrame) -> DataFrame:
+    """Per column, fields that hold text of which nothing usable could be made.
+
+    They become NULL in a row that is kept, so this is the place to notice them.
+    """
+    counts = raw.agg(
+        *[
+            F.count_if(clean_text(F.col(field.name)).isNotNull() & _typed(field).isNull()).alias(
+                field.name
+            )
+            for field in LOAN_SCHEMA
+        ]
+    )
+    return counts.unpivot([], LOAN_COLUMNS, "column_name", "unreadable")
+
+
 def restore_dates(df: DataFrame, columns=tuple(DATE_COLUMNS)) -> DataFrame:
     """Turn epoch-millisecond columns into dates; real dates are left alone."""
     types = dict(df.dtypes)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.constants import PERCENTILES, Buckets
@@ -13,11 +13,6 @@ from lendspark.functions.measures import percent, row_count
 from lendspark.operators.running import RANGE, key_ranges, range_starts
 
 
-def column_names(spark: SparkSession, names: Sequence[str], alias: str) -> DataFrame:
-    """A frame of the given names, one row each."""
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias(alias))
-
-
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per column: count, rows, and percentage."""
     counts = df.agg(
