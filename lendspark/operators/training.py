@@ -123,6 +123,16 @@ def param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
     return [dict(zip(params, values)) for values in product(*grid.values())]
 
 
+def fit_partitions(df: DataFrame, rows: int = 25_000) -> DataFrame:
+    """``df`` in partitions of at least about ``rows`` rows.
+
+    A fit runs a job or more per iteration, and a small frame in many partitions
+    spends it on starting tasks. Partitions that hold enough are left alone.
+    """
+    enough = max(1, -(-df.count() // rows))
+    return df.coalesce(enough) if enough < df.rdd.getNumPartitions() else df
+
+
 def with_folds(df: DataFrame, folds: int = CV_FOLDS, key: str = "id") -> DataFrame:
     """``df`` with a ``fold`` that all copies of a row share."""
     return df.withColumn("fold", (millionths(F.col(key), SEED) % folds).cast("int"))
@@ -165,7 +175,7 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
         validator = validator.setFoldCol("fold")
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return validator.fit(train)
+        return validator.fit(fit_partitions(train))
     finally:
         train.unpersist()
 

@@ -22,6 +22,7 @@ from lendspark.operators.training import (
     Search,
     baseline_estimator,
     describe_params,
+    fit_partitions,
     tune,
 )
 from lendspark.sources.writers import write_parquet
@@ -115,7 +116,7 @@ class Fitted:
 
 
 def fit_baseline(family: str, data: TrainingData) -> Fitted:
-    model = baseline_estimator(family).fit(data.train_balanced)
+    model = baseline_estimator(family).fit(fit_partitions(data.train_balanced))
     return Fitted(family, model, model.transform(data.test_encoded))
 
 

@@ -97,6 +97,13 @@ def test_unknown_family():
         training.search_estimator("Tree")
 
 
+def test_only_small_partitions_are_merged(spark):
+    assert training.fit_partitions(spark.range(0, 1000, 1, 8), 400).rdd.getNumPartitions() == 3
+    assert training.fit_partitions(spark.range(0, 0, 1, 8)).rdd.getNumPartitions() <= 1
+    large = spark.range(0, 1000, 1, 8)
+    assert training.fit_partitions(large, 100) is large
+
+
 def test_copies_share_a_fold(data):
     folds = training.with_folds(data.train_balanced, 3)
     per_row = folds.groupBy("id").agg(F.count_distinct("fold").alias("n"))
