@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import line_quality
+from lendspark.llm import grace, line_quality, packing
+
+# The vocabulary files of the machine, as their description names them.
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +80,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base) b
 LEFT JOIN kept_words ON b.host = kept_words.host AND b.t = kept_words.t
 """
+
+
+@query
+def op9_exact_dedup(spark, sf_dir):
+    return grace.groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_exact_dedup"] = """
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
+  SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256,
+    max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+    count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size
+  FROM documents)
+"""
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op10_best_fit_packing(spark, sf_dir):
+    packed = packing.pack(
+        table(spark, sf_dir, "documents"), packing.Packing(tokenizer_path())
+    )
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
