@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import grace, line_quality, packing
+from lendspark.llm import chosen_path, grace, line_quality, packing
 
 # The vocabulary files of the machine, as their description names them.
 TOKENIZER = "word_bpe_49k.json"
@@ -108,3 +108,38 @@ def op10_best_fit_packing(spark, sf_dir):
         table(spark, sf_dir, "documents"), packing.Packing(tokenizer_path())
     )
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op2_minhash_near_dedup(spark, sf_dir):
+    groups = chosen_path.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLES["op2_minhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(CASE WHEN len(ws) = 1 THEN ws[1:1] ELSE ws[i:i + 1] END) AS g
+  FROM w, unnest(range(1, greatest(2, CAST(len(ws) AS BIGINT)))) AS u(i) WHERE len(ws) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), overlap AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM overlap JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach(doc_id, to_id) AS (
+  SELECT doc_id, doc_id FROM w
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) l
+    ON l.a = r.to_id
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
