@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendspark.llm import chosen_path, grace, line_quality, packing
+from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
 TOKENIZER = "word_bpe_49k.json"
 
+# Target shares of languages within each domain.
+LANGUAGE_WEIGHTS = {(None, "en"): 0.4, (None, "de"): 0.2, (None, "fr"): 0.2, (None, "es"): 0.2}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -143,3 +147,16 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id, w.doc_id = componen
 FROM w LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
+
+
+def source_levels() -> list:
+    """Domain, language and source of a document; sources of a domain differ by number."""
+    return [F.regexp_extract("source", "^[^0-9]*", 0), F.col("lang"), F.col("source")]
+
+
+@query
+def op5_source_mixing(spark, sf_dir):
+    mixed = mix_sources(
+        table(spark, sf_dir, "documents"), source_levels(), Mix(weights=LANGUAGE_WEIGHTS)
+    )
+    return mixed.select("row.doc_id", "row.lang", "row.source", "epoch", "order")
