@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import chosen_path, grace, line_quality, packing
+from lendspark.llm import chosen_path, grace, line_quality, main_text, packing
 from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
@@ -160,3 +160,8 @@ def op5_source_mixing(spark, sf_dir):
         table(spark, sf_dir, "documents"), source_levels(), Mix(weights=LANGUAGE_WEIGHTS)
     )
     return mixed.select("row.doc_id", "row.lang", "row.source", "epoch", "order")
+
+
+@query
+def op6_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))
