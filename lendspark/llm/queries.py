@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import chosen_path, grace, line_quality, main_text, packing
+from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing
 from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
@@ -165,3 +165,8 @@ def op5_source_mixing(spark, sf_dir):
 @query
 def op6_main_text(spark, sf_dir):
     return main_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    return language_id.predict(table(spark, sf_dir, "documents"))
