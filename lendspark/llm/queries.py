@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing
+from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing, token_counts, warc
 from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
@@ -170,3 +170,28 @@ def op6_main_text(spark, sf_dir):
 @query
 def op4_language_id(spark, sf_dir):
     return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+ORACLES["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages
+), f AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    # Id 49407 ends a document in this vocabulary.
+    layout = token_counts.Layout(separator=49407)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), layout)

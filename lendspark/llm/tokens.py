@@ -42,11 +42,12 @@ class Tokenizer:
     token, is encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer as File
 
         self.file = File.from_file(path)
+        self.file.encode_special_tokens = special_as_text
         self.pattern = self._word_pattern(path)
         self.merge = self.file.model.tokenize
         self.known: dict[str, bytes] = {}
@@ -104,5 +105,5 @@ class Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    return Tokenizer(path)
+def tokenizer(path: str, special_as_text: bool = False) -> Tokenizer:
+    return Tokenizer(path, special_as_text)
