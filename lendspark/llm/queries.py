@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing, token_counts, warc
+from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing, repeats, token_counts, warc
 from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
@@ -195,3 +195,9 @@ def op3_token_counts(spark, sf_dir):
     # Id 49407 ends a document in this vocabulary.
     layout = token_counts.Layout(separator=49407)
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), layout)
+
+
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    return cut.drop("kept")
