@@ -39,9 +39,9 @@ from lendspark.llm.shingles import U64, mixed, powers, running_sum, stretch_hash
 from lendspark.session import scratch_path
 
 KEY = ["k1", "k2"]
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 128 << 10
 PLACE_BITS = 24
-GATHERED_BYTES = 1 << 20
+GATHERED_BYTES = 512 << 10
 
 
 @dataclass(frozen=True)
@@ -149,7 +149,7 @@ def runs(texts: DataFrame, settings: Repeats) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
+            for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 512)
                 contents = [text.encode() for text in part.column(3).to_pylist()]
                 for start, chunk in _text_chunks(contents):

@@ -13,7 +13,7 @@ import numpy as np
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xBF58476D1CE4E5B9
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 128 << 10
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -28,7 +28,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``size`` powers and inverses."""
-    return _powers(1 << max(20, int(size - 1).bit_length()))
+    return _powers(1 << max(18, int(size - 1).bit_length()))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
