@@ -145,49 +145,87 @@ def _text_runs(text: bytes, settings: Repeats) -> tuple[np.ndarray, ...]:
 
 
 def runs(texts: DataFrame, settings: Repeats) -> DataFrame:
-    """``k1, k2, least_id, first, last, gram, region`` of every run of every text."""
+    """The runs of every text, one row for all that are equal in a text.
+
+    ``k1, k2, least_id, first, last`` of the first of them, ``gram, region``, and in
+    ``firsts`` where all of them start. So a text that goes on repeating itself gives few
+    rows.
+    """
+
+    def distinct(owner, first, last, gram, region):
+        order = np.lexsort((first, region, gram, owner))
+        same = np.ones(len(order), bool)
+        for values in (owner, gram, region):
+            same[1:] &= values[order[1:]] == values[order[:-1]]
+        same[:1] = False
+        heads = np.flatnonzero(~same)
+        firsts = pa.ListArray.from_arrays(
+            pa.array(np.append(heads, len(order)).astype(np.int32)), pa.array(first[order])
+        )
+        at = order[heads]
+        return owner[at], [first[at], last[at], gram[at], region[at]], firsts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 512)
+                part = batch.slice(at, 128)
                 contents = [text.encode() for text in part.column(3).to_pylist()]
                 for start, chunk in _text_chunks(contents):
                     many = len(chunk) > 1 or len(chunk[0]) <= CHUNK_BYTES
                     owner, first, last, gram, region = (
                         anchored_runs(chunk, settings) if many else _text_runs(chunk[0], settings)
                     )
-                    rows = part.take(pa.array(owner + start)).columns[:3]
-                    numbers = [pa.array(x.view(np.int64)) for x in (first, last, gram, region)]
+                    if len(owner) == 0:
+                        continue
+                    owner, numbers, firsts = distinct(owner, first, last, gram, region)
+                    whose = pa.array(owner + start)
                     yield pa.record_batch(
-                        [*rows, *numbers],
-                        names=["k1", "k2", "least_id", "first", "last", "gram", "region"],
+                        [
+                            *[column.take(whose) for column in part.columns[:3]],
+                            *[pa.array(x.view(np.int64)) for x in numbers],
+                            firsts,
+                        ],
+                        names=["k1", "k2", "least_id", "first", "last", "gram", "region", "firsts"],
                     )
 
     long_enough = texts.where(F.octet_length("text") >= settings.length)
     schema = (
-        "k1 BIGINT, k2 BIGINT, least_id BIGINT, first BIGINT, last BIGINT, gram BIGINT, region BIGINT"
+        "k1 BIGINT, k2 BIGINT, least_id BIGINT, first BIGINT, last BIGINT, gram BIGINT,"
+        " region BIGINT, firsts ARRAY<BIGINT>"
     )
     return long_enough.select("k1", "k2", "least_id", "text").mapInArrow(run, schema)
 
 
+def _dense(values: np.ndarray) -> np.ndarray:
+    """Values replaced by their rank among the distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
+    return rank
+
+
+def _ahead(values: np.ndarray, step: int) -> np.ndarray:
+    moved = np.zeros_like(values)
+    moved[: max(0, len(values) - step)] = values[step:]
+    return moved
+
+
 def suffix_classes(data: np.ndarray, length: int) -> np.ndarray:
     """Rank of the suffix at each place by its first ``length`` bytes, by doubling.
 
     ``data`` holds bytes raised by one, and zero after each string and at the end.
     Suffixes have equal ranks if they agree that far, or to where both their strings end.
     """
-    rank = data.astype(np.int64)
-    reach = 1
+    reach = min(7, length)  # so many values of 9 bits make up one number
+    start = np.zeros(len(data), np.int64)
+    for k in range(reach):
+        start = (start << 9) | _ahead(data, k)
+    rank = _dense(start)
     while reach < length:
         step = min(reach, length - reach)
-        ahead = np.zeros_like(rank)
-        ahead[:-step] = rank[step:]
-        pair = rank * (int(rank.max()) + 1) + ahead
-        order = np.argsort(pair, kind="stable")
-        new = np.empty_like(rank)
-        new[order] = np.cumsum(np.diff(pair[order], prepend=pair[order[0]]) != 0)
-        rank, reach = new, reach + step
+        rank = _dense(rank * (int(rank.max()) + 1) + _ahead(rank, step))
+        reach += step
     return rank
 
 
@@ -338,11 +376,11 @@ def _counted_windows(regions: DataFrame, settings: Repeats) -> DataFrame:
 def repeated_windows(texts: DataFrame, settings: Repeats, keep_first: bool) -> DataFrame:
     """``k1, k2, spans``: where windows to be removed start, as closed intervals."""
     every = stored(runs(texts, settings), "runs")
-    shared = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    shared = every.groupBy("gram").agg(F.sum(F.size("firsts")).alias("n")).where("n > 1")
     candidates = stored(every.join(shared, "gram", "left_semi"), "shared-runs")
     place = F.struct("least_id", "k1", "k2", "first", "last")
     classes = candidates.groupBy("gram", "region").agg(
-        F.count("*").alias("times"), F.min(place).alias("place")
+        F.sum(F.size("firsts")).alias("times"), F.min(place).alias("place")
     )
     classes = stored(classes, "run-classes")
     kinds = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
@@ -355,16 +393,24 @@ def repeated_windows(texts: DataFrame, settings: Repeats, keep_first: bool) -> D
         )
     partial = stored(partial, "matches")
 
-    shift = lambda spans: F.transform(
-        spans, lambda s: F.struct((s["a"] + F.col("first")).alias("a"), (s["b"] + F.col("first")).alias("b"))
-    )
-    whole = F.array(F.struct(F.col("first").alias("a"), F.col("last").alias("b")))
-    is_first = place.eqNullSafe(F.col("place"))
-    removed = (
-        F.when(~is_first, whole).otherwise(shift(F.col("earlier")))
-        if keep_first
-        else F.when(F.col("times") > 1, whole).otherwise(shift(F.col("any")))
+    # All runs of a row agree, so what is found for one holds for each.
+    width = F.col("last") - F.col("first")
+    span = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    whole = lambda firsts: F.transform(firsts, lambda x: span(x, x + width))
+    within = lambda firsts, spans: F.flatten(
+        F.transform(firsts, lambda x: F.transform(spans, lambda s: span(x + s["a"], x + s["b"])))
     )
+    if keep_first:
+        is_first = place.eqNullSafe(F.col("place"))
+        head, rest = F.slice("firsts", 1, 1), F.slice("firsts", 2, F.greatest(F.size("firsts") - 1, F.lit(1)))
+        earlier = F.coalesce("earlier", F.array().cast(SPANS))
+        removed = F.when(~is_first, whole(F.col("firsts"))).otherwise(
+            F.concat(within(head, earlier), whole(rest))
+        )
+    else:
+        removed = F.when(F.col("times") > 1, whole(F.col("firsts"))).otherwise(
+            within(F.col("firsts"), F.col("any"))
+        )
     return (
         candidates.join(classes, ["gram", "region"])
         .join(partial, ["gram", "region"], "left")
@@ -378,17 +424,20 @@ def repeated_windows(texts: DataFrame, settings: Repeats, keep_first: bool) -> D
 CUT = "k1 BIGINT, k2 BIGINT, copies BIGINT, least_id BIGINT, n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept BINARY, kept_sha256 STRING"
 
 
-def _covered(size: int, spans: list[dict], length: int) -> np.ndarray:
+def _covered(size: int, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     """Whether each byte is covered by a window that starts in one of the intervals."""
-    change = np.zeros(size + 1, np.int32)
-    if spans:
-        a = np.fromiter((s["a"] for s in spans), np.int64, len(spans))
-        b = np.fromiter((s["b"] for s in spans), np.int64, len(spans))
-        np.add.at(change, a, 1)
-        np.add.at(change, b + length, -1)
+    change = np.bincount(a, minlength=size + 1) - np.bincount(b + length, minlength=size + 1)
     return np.cumsum(change[:size]) > 0
 
 
+def _interval_lists(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of each row of a column of intervals; none for NULL."""
+    flat = column.flatten()
+    a, b = (flat.field(k).to_numpy() for k in (0, 1))
+    cuts = np.cumsum(np.nan_to_num(column.value_lengths().fill_null(0).to_numpy()))[:-1]
+    yield from zip(np.split(a, cuts), np.split(b, cuts))
+
+
 def remove_repeats(
     df: DataFrame,
     text: str = "text",
@@ -411,10 +460,11 @@ def remove_repeats(
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
-                columns = [c.to_pylist() for c in part.columns]
-                for k1, k2, copies, least_id, content, spans in zip(*columns):
+                columns = [c.to_pylist() for c in part.columns[:5]]
+                spans = _interval_lists(part.column(5))
+                for k1, k2, copies, least_id, content, (a, b) in zip(*columns, spans):
                     data = content.encode()
-                    covered = _covered(len(data), spans or [], length)
+                    covered = _covered(len(data), a, b, length)
                     if copies > 1 and len(data) >= length and not keep_first:
                         covered[:] = True
                     kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
