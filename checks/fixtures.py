@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendspark.sources.readers import spread
-
 # The test data starts in 1995 and ends in 2001, so the split falls in between.
 FIXTURE_CUTOFF = "1999-07-01"
 
@@ -50,18 +48,34 @@ SELECT o_orderkey AS id,
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 """
 
+# Per published report: the query it equals, a column to count by and one to add up.
+PUBLISHED = {
+    "q1": ("q1_grade", "total_loans", "default_rate"),
+    "q2": ("q2_purpose", "total_loans", "default_rate"),
+    "q3": ("q3_issue_year", "total_loans", "default_rate"),
+    "q4": ("q4_dti", "total_loans", "default_rate"),
+    "q5": ("q5_grade_ownership", "total_loans", "default_rate"),
+    "q6": ("q6_fico", "total_loans", "default_rate"),
+    "dq_null_profile": ("dq_null_profile", "null_count", "null_pct"),
+    "dq_loan_status_distribution": ("dq_status_distribution", "count", "share_pct"),
+    "dq_binary_target_distribution": ("dq_binary_target", "count", "share_pct"),
+    "dq_categorical_value_counts": ("dq_categorical_counts", "count", "share_pct"),
+    "dq_numeric_summary": ("dq_numeric_summary", "non_null_count", "median"),
+    "dq_numeric_distributions": ("dq_numeric_distributions", "count", "share_pct"),
+}
+
 # As exported: text throughout, with blanks, percent signs and broken fields.
 LOANS_RAW = """
 SELECT CASE WHEN id % 401 = 0 THEN '' WHEN id % 401 = 1 THEN 'Total amount funded' WHEN id % 401 = 2 THEN concat(CAST(id AS VARCHAR(20)), '.0') ELSE CAST(id AS VARCHAR(20)) END AS id,
   CAST(CAST(floor(loan_amnt) AS BIGINT) AS VARCHAR(20)) AS loan_amnt,
-  concat(' ', CAST(term AS VARCHAR(3)), ' months') AS term,
+  CASE WHEN id % 103 = 4 THEN ' 0 months' ELSE concat(' ', CAST(term AS VARCHAR(3)), ' months') END AS term,
   concat(' ', CAST(CAST(floor(int_rate) AS INT) AS VARCHAR(4)), '.25%') AS int_rate,
   CAST(CAST(floor(installment) AS BIGINT) AS VARCHAR(20)) AS installment,
   concat(' ', grade) AS grade, sub_grade,
   emp_length,
   concat('  ', home_ownership, ' ') AS home_ownership,
-  CAST(CAST(floor(annual_inc) AS BIGINT) AS VARCHAR(20)) AS annual_inc,
-  verification_status, purpose,
+  CASE WHEN id % 613 = 7 THEN '1e999' ELSE CAST(CAST(floor(annual_inc) AS BIGINT) AS VARCHAR(20)) END AS annual_inc,
+  CASE WHEN id % 17 = 0 THEN concat('say "', verification_status, '", twice', chr(10), 'over') ELSE verification_status END AS verification_status, purpose,
   CAST(CAST(floor(dti) AS BIGINT) AS VARCHAR(20)) AS dti,
   CASE WHEN delinq_2yrs IS NULL THEN NULL WHEN id % 13 = 0 THEN 'n/a' ELSE concat(CAST(delinq_2yrs AS VARCHAR(20)), '.0') END AS delinq_2yrs,
   concat(CAST(inq_last_6mths AS VARCHAR(20)), '.0') AS inq_last_6mths, concat(CAST(open_acc AS VARCHAR(20)), '.0') AS open_acc, concat(CAST(pub_rec AS VARCHAR(20)), '.0') AS pub_rec,
@@ -116,7 +130,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         LOANS,
-        orders=spread(read_table(spark, sf_dir, "orders")),
+        orders=read_table(spark, sf_dir, "orders"),
         customer=read_table(spark, sf_dir, "customer"),
     )
 

@@ -191,9 +191,8 @@ ORACLES["dq_null_profile"] = over(
     )
 )
 ORACLES["dq_status_distribution"] = over(
-    """SELECT coalesce(loan_status, 'NULL') AS loan_status, count(*) AS count,
-  round(count(*) / max(total_rows) * 100, 4) AS share_pct
-FROM loans CROSS JOIN (SELECT count(*) AS total_rows FROM loans) t GROUP BY 1"""
+    """SELECT loan_status, n AS count, round(100 * n / sum(n) OVER (), 4) AS share_pct
+FROM (SELECT coalesce(loan_status, 'NULL') AS loan_status, count(*) AS n FROM loans GROUP BY 1) g"""
 )
 ORACLES["status_share_crossjoin"] = ORACLES["dq_status_distribution"]
 ORACLES["dq_binary_target"] = over(
@@ -270,12 +269,9 @@ ORACLES["dq_numeric_distributions"] = over(
 
 ORACLES["record_count"] = over("SELECT count(*) AS total_rows FROM loans")
 ORACLES["analyze_stats"] = ORACLES["record_count"]
-ORACLES["schema_catalog"] = over(
-    " UNION ALL ".join(
-        f"SELECT '{f.name}' AS name, '{f.dataType.simpleString()}' AS type,"
-        f" count({f.name}) < count(*) AS nullable FROM loans"
-        for f in LOAN_SCHEMA
-    )
+ORACLES["schema_catalog"] = " UNION ALL ".join(
+    f"SELECT '{f.name}' AS name, '{f.dataType.simpleString()}' AS type, TRUE AS nullable"
+    for f in LOAN_SCHEMA
 )
 
 DATES_AS_TEXT = (
@@ -295,7 +291,8 @@ def _stripped(column: str) -> str:
 
 
 def _number(column: str) -> str:
-    return f"try_cast(trim(replace({column}, '%', ''), {BLANKS}) AS DOUBLE)"
+    value = f"try_cast(trim(replace({column}, '%', ''), {BLANKS}) AS DOUBLE)"
+    return f"(CASE WHEN isfinite({value}) THEN {value} END)"
 
 
 def _whole(column: str, kind: str = "BIGINT") -> str:
@@ -431,6 +428,31 @@ ORACLES["table_or_path"] = over(
 FROM loans CROSS JOIN (VALUES ('table'), ('path')) s(source) GROUP BY source"""
 )
 ORACLES["orc_publish"] = ORACLES["q1_grade"]
+ORACLES["published_reports"] = " UNION ALL ".join(
+    f"""SELECT '{report}' AS report, count(*) AS n_rows, CAST(sum({count}) AS BIGINT) AS counted,
+  round(sum({value}), 6) AS total FROM ({ORACLES[name]}) r"""
+    for report, (name, count, value) in fx.PUBLISHED.items()
+)
+TYPED = f"""SELECT {", ".join(f"{sql} AS {name}" for name, sql in FIELD.items())},
+  CASE WHEN {BAD_ID} THEN 'id' WHEN {BAD_DATE} THEN 'date' END AS rejected FROM raw"""
+INGESTED = f"""SELECT id, loan_amnt, coalesce(rejected, nullif(concat_ws(',', {", ".join(
+    f"CASE WHEN {broken} THEN '{rule}' END" for rule, broken in BROKEN_RULES.items()
+)}), '')) AS reason FROM ({TYPED}) t"""
+ORACLES["ingest_flow"] = over(
+    f"""SELECT coalesce(reason, 'kept') AS reason, count(*) AS counted, count(*) AS stored,
+  CAST(sum(id) AS BIGINT) AS ids, sum(loan_amnt) AS loan_amnt FROM ({INGESTED}) i GROUP BY 1""",
+    "raw",
+)
+ORACLES["enforced_rules"] = over(
+    f"""SELECT * FROM ({" UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM broken"
+        for rule, broken in BROKEN_RULES.items()
+    )}
+  UNION ALL SELECT 'id_not_null', count(*) FILTER (WHERE id IS NULL) FROM broken
+  UNION ALL SELECT 'id_unique', count(id) - count(DISTINCT id) FROM broken) v
+WHERE violations > 0""",
+    "broken",
+)
 ORACLES["csv_export"] = ORACLES["q5_grade_ownership"]
 
 # --- preparation ---------------------------------------------------------------
@@ -525,9 +547,9 @@ FROM (
     "codes",
 )
 ORACLES["json_artifact"] = over(
-    """SELECT v.label, CAST(sum(copies) AS BIGINT) AS total_rows,
-  CAST(sum(copies * nonzero) AS BIGINT) AS nonzero
-FROM vectors v JOIN balanced b ON v.id = b.id WHERE v.side = 'train' GROUP BY v.label""",
+    """SELECT v.side, v.label, CAST(sum(coalesce(copies, 1)) AS BIGINT) AS total_rows,
+  CAST(sum(coalesce(copies, 1) * nonzero) AS BIGINT) AS nonzero
+FROM vectors v LEFT JOIN balanced b ON v.id = b.id GROUP BY v.side, v.label""",
     "prepared",
     "filled",
     "balanced",
@@ -658,3 +680,69 @@ CROSS JOIN ({AREAS.replace("FROM scores", "FROM nb_scores")}) a""",
     "model",
     "nb_scores",
 )
+
+# Of fitted models: what must hold of any of them, and what follows from the data.
+_TEST = "SELECT count(*) AS total_rows, CAST(sum(label) AS BIGINT) AS positives FROM prepared WHERE side = 'test'"
+
+
+def _consistent(*families: str, combinations: int) -> str:
+    kinds = ", ".join(f"('{family}')" for family in families)
+    return over(
+        f"""SELECT model, total_rows, positives, TRUE AS agrees, {combinations} AS combinations
+FROM ({_TEST}) t CROSS JOIN (VALUES {kinds}) m(model)""",
+        "prepared",
+    )
+
+
+ORACLES["baseline_rf"] = _consistent("RandomForest", combinations=0)
+ORACLES["baseline_svc"] = _consistent("LinearSVC", combinations=0)
+ORACLES["tuned_rf"] = _consistent("RandomForest", combinations=27)
+ORACLES["tuned_svc"] = _consistent("LinearSVC", combinations=27)
+ORACLES["tuned_nb"] = _consistent("NaiveBayes", combinations=27)
+ORACLES["model_comparison"] = _consistent("RandomForest", "LinearSVC", "NaiveBayes", combinations=0)
+ORACLES["model_prediction_distribution"] = over(
+    """SELECT model, label, count(*) AS count FROM prepared
+CROSS JOIN (VALUES ('RandomForest'), ('LinearSVC'), ('NaiveBayes')) m(model)
+WHERE side = 'test' GROUP BY model, label""",
+    "prepared",
+)
+ORACLES["sample_predictions"] = over(
+    """SELECT * EXCLUDE (loan_status, label, side) REPLACE (CAST(issue_d AS VARCHAR) AS issue_d,
+    round(issue_month_sin, 9) AS issue_month_sin, round(issue_month_cos, 9) AS issue_month_cos),
+  loan_status AS actual_status, label AS actual_label, TRUE AS agrees
+FROM prepared WHERE side = 'test' ORDER BY id LIMIT 10""",
+    "prepared",
+)
+ORACLES["joined_outputs"] = over(
+    """SELECT id, label, prediction AS m_prediction,
+  CASE WHEN prediction = 1 THEN 'Charged Off' ELSE 'Fully Paid' END AS m_predicted_status
+FROM scores""",
+    "scores",
+)
+ORACLES["feature_info"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature_name, '{kind}' AS feature_type"
+    for kind, names in (("numeric", NUMERIC_FEATURES), ("categorical", CATEGORICAL_FEATURES))
+    for name in names
+)
+_EXACT = {
+    "split_summary": ("dataset", "rows", ORACLES["split_summary"]),
+    "feature_info": ("feature_name", "0", ORACLES["feature_info"]),
+    "label_distribution": ("concat(dataset, ' ', CAST(CAST(label AS INTEGER) AS VARCHAR))", "count", ORACLES["label_distribution"]),
+    "baseline_evaluation": ("model", "total_rows", ORACLES["model_comparison"]),
+    "evaluation": ("model", "total_rows", ORACLES["model_comparison"]),
+    "prediction_distribution": (
+        "concat(model, ' ', CAST(CAST(label AS INTEGER) AS VARCHAR))",
+        "count",
+        ORACLES["model_prediction_distribution"],
+    ),
+}
+ORACLES["dashboard_package"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS summary, {what} AS item, CAST({number} AS BIGINT) AS counted FROM ({sql}) {name}"
+    for name, (what, number, sql) in _EXACT.items()
+)
+ORACLES["training_build"] = ORACLES["label_distribution"]
+ORACLES["training_artifacts"] = over(
+    f"""SELECT model, total_rows AS stored, total_rows AS evaluated, CAST(0 AS BIGINT) AS changed
+FROM ({_TEST}) t CROSS JOIN (VALUES ('RandomForest'), ('LinearSVC'), ('NaiveBayes')) m(model)""",
+    "prepared",
+)

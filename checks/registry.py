@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from lendspark.constants import (
     CATEGORICAL_FEATURES,
     LOAN_SCHEMA,
     NUMERIC_FEATURES,
-    SUMMARY_SCHEMAS,
+    STAGED_LOAN_SCHEMA,
 )
 from lendspark.functions.dates import epoch_ms_to_date
 from lendspark.functions.measures import row_count
@@ -35,9 +36,11 @@ from lendspark.operators.training import (
     LINEAR_SVC,
     NAIVE_BAYES,
     RANDOM_FOREST,
+    SEARCH_GRIDS,
     Search,
 )
 from lendspark.plans import business, quality
+from lendspark.plans.ingest import ingest
 from lendspark.plans.modelling import (
     Fitted,
     TrainingData,
@@ -45,7 +48,9 @@ from lendspark.plans.modelling import (
     comparison,
     fit_baseline,
     fit_tuned,
+    save_artifacts,
 )
+from lendspark.plans.reporting import publish_reports
 from lendspark.session import scratch_path
 from lendspark.sources import catalog, readers, writers
 
@@ -53,13 +58,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-# A corner of each search grid; the full grids are the library's defaults.
-SMALL_GRIDS = {
-    RANDOM_FOREST: {"numTrees": [10, 20], "maxDepth": [3, 5]},
-    LINEAR_SVC: {"regParam": [0.01, 0.1], "tol": [1e-4]},
-    NAIVE_BAYES: {"scaler.max": [1.0, 5.0], "smoothing": [0.5, 1.0]},
-}
-
 FAMILIES = (RANDOM_FOREST, LINEAR_SVC, NAIVE_BAYES)
 PREFIXES = {
     RANDOM_FOREST: "random_forest",
@@ -138,8 +136,17 @@ on_loans(
     lambda loans: rounded(quality.numeric_report(loans), 6, "avg_value", "stddev_value"),
 )
 on_loans("dq_numeric_distributions", quality.bucket_report)
-on_loans("status_share_crossjoin", profile.status_distribution_crossed)
-on_loans("schema_catalog", profile.column_catalogue)
+on_loans("status_share_crossjoin", profile.status_distribution)
+
+
+@query
+def schema_catalog(spark, sf_dir):
+    """Of the stored table, as a reader declares it."""
+    path = scratch_path(spark, "catalogued")
+    writers.write_parquet(fx.loans(spark, sf_dir), path)
+    return profile.column_catalogue(readers.read_parquet(spark, path, LOAN_SCHEMA))
+
+
 on_loans("record_count", cleaning.record_count)
 on_loans("sample_rows", lambda loans: dates_as_text(cleaning.sample_rows(loans)))
 
@@ -149,14 +156,14 @@ LINEITEM_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query
 def lineitem_numeric_summary(spark, sf_dir):
-    lineitem = readers.spread(fx.read_table(spark, sf_dir, "lineitem"))
+    lineitem = fx.read_table(spark, sf_dir, "lineitem")
     summary = profile.numeric_summary(lineitem, LINEITEM_NUMBERS)
     return rounded(summary, 8, "avg_value", "stddev_value")
 
 
 @query
 def lineitem_value_counts(spark, sf_dir):
-    lineitem = readers.spread(fx.read_table(spark, sf_dir, "lineitem"))
+    lineitem = fx.read_table(spark, sf_dir, "lineitem")
     return profile.value_counts(lineitem, ["l_returnflag", "l_linestatus", "l_linenumber"])
 
 
@@ -279,7 +286,7 @@ def snapshot_range(spark, sf_dir):
 def parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "parquet")
     writers.write_parquet(fx.loans_staged(spark, sf_dir), path)
-    return readers.read_parquet(spark, path)
+    return readers.read_parquet(spark, path, STAGED_LOAN_SCHEMA)
 
 
 @query
@@ -314,6 +321,58 @@ def orc_publish(spark, sf_dir):
     return spark.table("lendspark_q1_results")
 
 
+@query
+def published_reports(spark, sf_dir):
+    """All reports published, and what their tables then hold."""
+    root = scratch_path(spark, "reports")
+    tables = publish_reports(fx.loans(spark, sf_dir), root, prefix="lendspark_")
+    return preparation.union_all(
+        [
+            spark.table(tables[report]).agg(
+                F.lit(report).alias("report"),
+                row_count().alias("n_rows"),
+                F.sum(count).alias("counted"),
+                F.round(F.sum(value), 6).alias("total"),
+            )
+            for report, (_, count, value) in fx.PUBLISHED.items()
+        ]
+    )
+
+
+@query
+def ingest_flow(spark, sf_dir):
+    """Outcomes as counted by the flow, next to the rows found where they were stored."""
+    root = scratch_path(spark, "ingested")
+    path = write_raw_csv(spark, sf_dir)
+    raw = readers.read_raw_csv(spark, path)
+    outcomes = ingest(raw, "lendspark_ingested", f"{root}/rejects", f"{root}/curated")
+    kept = spark.table("lendspark_ingested").select(F.lit("kept").alias("reason"), "id", "loan_amnt")
+    rejects = readers.read_parquet(spark, f"{root}/rejects").select("reason", "id", "loan_amnt")
+    stored = (
+        kept.union(rejects)
+        .groupBy("reason")
+        .agg(
+            row_count().alias("stored"),
+            F.sum("id").cast("decimal(38,0)").alias("ids"),
+            F.sum("loan_amnt").alias("loan_amnt"),
+        )
+    )
+    return outcomes.withColumnRenamed("rows", "counted").join(stored, "reason", "full").withColumn(
+        "ids", F.col("ids").cast("bigint")
+    )
+
+
+@query
+def enforced_rules(spark, sf_dir):
+    """What stops a load of broken rows."""
+    try:
+        validation.enforce(fx.loans_broken(spark, sf_dir))
+        broken = {}
+    except validation.ConstraintViolation as violation:
+        broken = violation.counts
+    return spark.createDataFrame(list(broken.items()), "rule STRING, violations BIGINT")
+
+
 @query
 def csv_export(spark, sf_dir):
     report = business.default_rate_by_grade_and_ownership(fx.loans(spark, sf_dir))
@@ -413,23 +472,31 @@ def training_data(spark, sf_dir) -> TrainingData:
     )
 
 
+@query
+def training_build(spark, sf_dir):
+    """All datasets of a training run made anew, for the queries that follow."""
+    key = (spark.sparkContext.applicationId, sf_dir, "data")
+    _SHARED.pop(key, None)
+    return rounded(training_data(spark, sf_dir).label_distribution(), 9, "share")
+
+
 def baseline(spark, sf_dir, family) -> Fitted:
     return _shared(
         spark,
         sf_dir,
         ("baseline", family),
-        lambda: fit_baseline(family, training_data(spark, sf_dir)),
+        lambda: fit_baseline(family, training_data(spark, sf_dir), scratch_path(spark, "fits")),
     )
 
 
 def tuned(spark, sf_dir, family) -> Fitted:
+    """The whole grid of the family; several of its models are fitted at a time."""
+    search = Search(SEARCH_GRIDS[family], parallelism=8)
     return _shared(
         spark,
         sf_dir,
         ("tuned", family),
-        lambda: fit_tuned(
-            family, training_data(spark, sf_dir), Search(SMALL_GRIDS[family])
-        ),
+        lambda: fit_tuned(family, training_data(spark, sf_dir), scratch_path(spark, "fits"), search),
     )
 
 
@@ -476,23 +543,29 @@ def summary_tables(spark, sf_dir):
     data = training_data(spark, sf_dir)
     catalog.publish_dashboard({"label_distribution": data.label_distribution()}, root)
     catalog.create_database(spark, "lendspark_summaries")
-    tables = catalog.register_summaries(spark, root, "lendspark_summaries")
+    tables = catalog.register_summaries(
+        spark, root, "lendspark_summaries", names=["label_distribution"]
+    )
     return rounded(spark.table(tables["label_distribution"]), 9, "share")
 
 
 @query
 def json_artifact(spark, sf_dir):
-    path = scratch_path(spark, "json")
-    writers.save_json_artifact(training_data(spark, sf_dir).train_balanced, path)
+    """Both sides as JSON, read back."""
+    root = scratch_path(spark, "json")
+    save_artifacts(training_data(spark, sf_dir), {}, root)
     schema = (
         "features STRUCT<type: INT, size: INT, indices: ARRAY<INT>, values: ARRAY<DOUBLE>>,"
         " label DOUBLE"
     )
     nonzero = F.size(F.filter("features.values", lambda x: x != 0))
+    sides = [
+        spark.read.schema(schema).json(f"{root}/{side}").withColumn("side", F.lit(side))
+        for side in ("train", "test")
+    ]
     return (
-        spark.read.schema(schema)
-        .json(path)
-        .groupBy("label")
+        preparation.union_all(sides)
+        .groupBy("side", "label")
         .agg(row_count().alias("total_rows"), F.sum(nonzero).alias("nonzero"))
     )
 
@@ -528,14 +601,51 @@ def prediction_distribution(spark, sf_dir):
 # --- models --------------------------------------------------------------------
 
 
+def consistent(fits: list[Fitted], with_params: bool = False) -> DataFrame:
+    """What is the same for whatever a model predicts: how many rows it was measured on,
+    and whether its metrics follow from its counts, its areas lie in between, and its
+    parameters are told."""
+    total = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    near = lambda name, value: F.abs(F.col(name) - value) < 1e-9
+    metrics = evaluation.threshold_metrics
+    rows = preparation.union_all([fit.metrics(with_params) for fit in fits])
+    again = preparation.union_all(
+        [
+            metrics(evaluation.confusion(fit.predictions)).select(
+                F.lit(fit.family).alias("model"),
+                *[F.col(name).alias(f"own_{name}") for name in ("accuracy", "precision", "recall", "f1", "tp", "fp")],
+                F.lit(fit.combinations).alias("combinations"),
+            )
+            for fit in fits
+        ]
+    )
+    agrees = (
+        (F.col("tp") == F.col("own_tp"))
+        & (F.col("fp") == F.col("own_fp"))
+        & F.col("areaUnderROC").between(0, 1)
+        & F.col("areaUnderPR").between(0, 1)
+    )
+    for name in ("accuracy", "precision", "recall", "f1"):
+        agrees = agrees & near(name, F.col(f"own_{name}"))
+    if with_params:
+        agrees = agrees & (F.length("best_params") > 0)
+    return rows.join(again, "model").select(
+        "model",
+        total.alias("total_rows"),
+        (F.col("tp") + F.col("fn")).alias("positives"),
+        agrees.alias("agrees"),
+        "combinations",
+    )
+
+
 @query
 def baseline_rf(spark, sf_dir):
-    return baseline(spark, sf_dir, RANDOM_FOREST).metrics()
+    return consistent([baseline(spark, sf_dir, RANDOM_FOREST)])
 
 
 @query
 def baseline_svc(spark, sf_dir):
-    return baseline(spark, sf_dir, LINEAR_SVC).metrics()
+    return consistent([baseline(spark, sf_dir, LINEAR_SVC)])
 
 
 @query
@@ -548,39 +658,82 @@ def baseline_nb(spark, sf_dir):
 
 @query
 def tuned_rf(spark, sf_dir):
-    return tuned(spark, sf_dir, RANDOM_FOREST).metrics(with_params=True)
+    return consistent([tuned(spark, sf_dir, RANDOM_FOREST)], with_params=True)
 
 
 @query
 def tuned_svc(spark, sf_dir):
-    return tuned(spark, sf_dir, LINEAR_SVC).metrics(with_params=True)
+    return consistent([tuned(spark, sf_dir, LINEAR_SVC)], with_params=True)
 
 
 @query
 def tuned_nb(spark, sf_dir):
-    return tuned(spark, sf_dir, NAIVE_BAYES).metrics(with_params=True)
+    return consistent([tuned(spark, sf_dir, NAIVE_BAYES)], with_params=True)
 
 
 @query
 def model_comparison(spark, sf_dir):
-    return comparison(_every(baseline, spark, sf_dir))
+    return consistent(list(_every(baseline, spark, sf_dir).values()))
 
 
 @query
 def model_prediction_distribution(spark, sf_dir):
+    """Rows per model and true label; how they are predicted is the model's affair."""
     fits = _every(tuned, spark, sf_dir)
-    return evaluation.prediction_distribution(
+    counts = evaluation.prediction_distribution(
         {family: fit.predictions for family, fit in fits.items()}
     )
+    return counts.groupBy("model", "label").agg(F.sum("count").alias("count"))
 
 
 @query
 def sample_predictions(spark, sf_dir):
+    """The sampled rows in full, and whether what the models say of them fits together."""
     fits = _every(tuned, spark, sf_dir)
-    return evaluation.sample_predictions(
+    sample = evaluation.sample_predictions(
         training_data(spark, sf_dir).test_raw,
         {PREFIXES[family]: fit.predictions for family, fit in fits.items()},
     )
+    agrees = F.lit(True)
+    for prefix in PREFIXES.values():
+        said = F.col(f"{prefix}_predicted_status") == "Charged Off"
+        agrees = agrees & (said == (F.col(f"{prefix}_prediction") == 1.0))
+    given = [name for name in sample.columns if not name.startswith(tuple(PREFIXES.values()))]
+    return dates_as_text(_rounded_features(sample.select(*given, agrees.alias("agrees"))))
+
+
+@query
+def joined_outputs(spark, sf_dir):
+    scores = fx.scores(spark, sf_dir)
+    return evaluation.join_model_outputs(
+        scores.select("id", "label"), {"m": scores.select("id", "prediction")}
+    )
+
+
+@query
+def training_artifacts(spark, sf_dir):
+    """Per model: rows in its saved predictions, rows in its saved metrics, and rows that
+    the saved model, read again, predicts otherwise."""
+    root = scratch_path(spark, "artifacts")
+    fits = _every(baseline, spark, sf_dir)
+    data = training_data(spark, sf_dir)
+    save_artifacts(data, fits, root)
+    loaders = {NAIVE_BAYES: PipelineModel}
+    rows = []
+    for family, fit in fits.items():
+        model = loaders.get(family, type(fit.model)).load(f"{root}/{family}/model")
+        again = model.transform(data.test_encoded).select("id", F.col("prediction").alias("again"))
+        changed = fit.predictions.join(again, "id").agg(
+            F.lit(family).alias("model"), F.count_if(F.col("prediction") != F.col("again")).alias("changed")
+        )
+        saved = readers.load_typed_csv(
+            spark, f"{root}/{family}/predictions", "label DOUBLE, prediction DOUBLE"
+        ).agg(F.lit(family).alias("model"), row_count().alias("stored"))
+        metrics = spark.read.csv(f"{root}/{family}/metrics", header=True).select(
+            "model", sum((F.col(c).cast("bigint") for c in ("tn", "fp", "fn")), F.col("tp").cast("bigint")).alias("evaluated")
+        )
+        rows.append(saved.join(metrics, "model").join(changed, "model"))
+    return preparation.union_all(rows)
 
 
 @query
@@ -611,7 +764,7 @@ def saved_predictions(spark, sf_dir):
 
 @query
 def dashboard_package(spark, sf_dir):
-    """All six summaries published together; rows found in each through its table."""
+    """All six summaries published together, and what is exact in each, read by its table."""
     data = training_data(spark, sf_dir)
     tuned_fits = _every(tuned, spark, sf_dir)
     root = scratch_path(spark, "dashboard")
@@ -630,11 +783,21 @@ def dashboard_package(spark, sf_dir):
     )
     catalog.create_database(spark, "lendspark_dashboard")
     tables = catalog.register_summaries(spark, root, "lendspark_dashboard")
+    whole = lambda name: F.col(name).cast("int").cast("string")
+    total = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    items = {
+        "split_summary": (F.col("dataset"), F.col("rows")),
+        "feature_info": (F.col("feature_name"), F.lit(0)),
+        "label_distribution": (F.concat("dataset", F.lit(" "), whole("label")), F.col("count")),
+        "baseline_evaluation": (F.col("model"), total),
+        "evaluation": (F.col("model"), total),
+        "prediction_distribution": (F.concat("model", F.lit(" "), whole("label")), F.col("count")),
+    }
     return preparation.union_all(
         [
-            spark.table(tables[name]).agg(
-                F.lit(name).alias("summary"), row_count().alias("total_rows")
-            )
-            for name in SUMMARY_SCHEMAS
+            spark.table(tables[name])
+            .groupBy(F.lit(name).alias("summary"), item.alias("item"))
+            .agg(F.sum(number).cast("bigint").alias("counted"))
+            for name, (item, number) in items.items()
         ]
     )

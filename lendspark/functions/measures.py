@@ -11,7 +11,8 @@ def row_count() -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    return F.round(part / whole * 100, digits)
+    """``part`` in percent of ``whole``, NULL for an empty whole."""
+    return F.round(F.try_divide(part, whole) * 100, digits)
 
 
 def safe_ratio(part: Column, whole: Column) -> Column:

@@ -23,9 +23,10 @@ PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def clean_numeric(text: Column) -> Column:
-    """``' 13.99%'`` to 13.99."""
+    """``' 13.99%'`` to 13.99. What is too large for a double is no amount either."""
     bare = F.replace(text, F.lit("%"), F.lit(""))
-    return F.when(bare.rlike(PLAIN_NUMBER), bare).try_cast("double")
+    number = F.when(bare.rlike(PLAIN_NUMBER), bare).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_int(text: Column, type_name: str = "bigint") -> Column:

@@ -12,6 +12,7 @@ from lendspark.constants import CHARGED_OFF, FULLY_PAID
 from lendspark.functions.measures import row_count, safe_ratio
 from lendspark.operators.preparation import union_all
 from lendspark.operators.running import key_ranges, running_totals
+from lendspark.session import work_folder
 
 
 def _confusion_cells(label: str, prediction: str) -> list[Column]:
@@ -56,14 +57,15 @@ def _score_counts(predictions: DataFrame, score: str, label: str, *others) -> Da
     )
 
 
-def _score_curve(per_score: DataFrame) -> DataFrame:
+def _score_curve(per_score: DataFrame, path: str) -> DataFrame:
     """Counts per score, accumulated from the highest score down."""
     downwards = [F.col("score").desc()]
-    return running_totals(key_ranges(per_score, downwards), ["pos", "neg"], downwards)
+    return running_totals(key_ranges(per_score, downwards, path), ["pos", "neg"], downwards)
 
 
 def _curve_areas(curve: DataFrame) -> DataFrame:
-    totals = curve.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0))
+    totals = curve.agg(total("pos").alias("all_pos"), total("neg").alias("all_neg"))
     pos, neg, tp, fp = (F.col(name) for name in ("pos", "neg", "cum_pos", "cum_neg"))
     all_pos, all_neg = F.col("all_pos"), F.col("all_neg")
 
@@ -79,8 +81,12 @@ def _curve_areas(curve: DataFrame) -> DataFrame:
 
     return (
         curve.crossJoin(F.broadcast(totals))
-        .groupBy("all_pos", "all_neg")
-        .agg(pairs.alias("pairs"), steps.alias("steps"))
+        .agg(
+            F.coalesce(F.max("all_pos"), F.lit(0)).alias("all_pos"),
+            F.coalesce(F.max("all_neg"), F.lit(0)).alias("all_neg"),
+            pairs.alias("pairs"),
+            steps.alias("steps"),
+        )
         .select(
             F.when(all_pos == 0, 0.0)
             .when(all_neg == 0, 1.0)
@@ -99,15 +105,24 @@ def ranking_areas(
     """One row: areas under the ROC and the precision-recall curve.
 
     Each distinct score is a threshold; nothing is binned. The points of a curve are
-    joined by straight lines, and the precision-recall curve starts level.
+    joined by straight lines, and the precision-recall curve starts level. The row is
+    computed at once, so that what it is computed from can be removed.
     """
-    return _curve_areas(_score_curve(_score_counts(predictions, score, label)))
+    with work_folder(predictions.sparkSession, "curve") as path:
+        return _at_once(_curve_areas(_score_curve(_score_counts(predictions, score, label), path)))
+
+
+def _at_once(row: DataFrame) -> DataFrame:
+    """A frame of one row with its values in it."""
+    return row.sparkSession.createDataFrame(row.collect(), row.schema)
 
 
 def evaluate(
     predictions: DataFrame, model_name: str, score_col: str = "rawPrediction"
 ) -> DataFrame:
-    """One row of all metrics, from a single pass over the predictions.
+    """One row of all metrics, from a single pass over the predictions, computed at once.
+
+    Without predictions all of them are zero.
 
     ``score_col`` is a vector whose second entry ranks the rows. The default is
     the raw score; for naive Bayes that is not normalised and ranks poorly, and
@@ -117,24 +132,25 @@ def evaluate(
         "label", "prediction", vector_to_array(score_col)[1].alias("score")
     )
     cells = _confusion_cells("label", "prediction")
-    curve = _score_curve(_score_counts(scored, "score", "label", *cells))
     names = ("tp", "tn", "fp", "fn")
-    counts = curve.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-    # Both sides are a single row.
-    return (
-        threshold_metrics(counts)
-        .crossJoin(F.broadcast(_curve_areas(curve)))
-        .select(
-            F.lit(model_name).alias("model"),
-            "accuracy",
-            "precision",
-            "recall",
-            "f1",
-            "areaUnderROC",
-            "areaUnderPR",
-            *names,
+    with work_folder(predictions.sparkSession, "curve") as path:
+        curve = _score_curve(_score_counts(scored, "score", "label", *cells), path)
+        counts = curve.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+        # Both sides are a single row.
+        return _at_once(
+            threshold_metrics(counts)
+            .crossJoin(F.broadcast(_curve_areas(curve)))
+            .select(
+                F.lit(model_name).alias("model"),
+                "accuracy",
+                "precision",
+                "recall",
+                "f1",
+                "areaUnderROC",
+                "areaUnderPR",
+                *names,
+            )
         )
-    )
 
 
 def prediction_distribution(predictions: Mapping[str, DataFrame]) -> DataFrame:
@@ -149,20 +165,28 @@ def prediction_distribution(predictions: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+# What a model says of a row: suffix of the column, what the model must have for it, value.
+MODEL_OUTPUTS = (
+    ("prediction", "prediction", lambda: F.col("prediction")),
+    (
+        "predicted_status",
+        "prediction",
+        lambda: F.when(F.col("prediction") == 1.0, CHARGED_OFF).otherwise(FULLY_PAID),
+    ),
+    ("probability_charged_off", "probability", lambda: vector_to_array("probability")[1]),
+    ("score_charged_off", "rawPrediction", lambda: vector_to_array("rawPrediction")[1]),
+)
+
+
 def _model_outputs(predictions: DataFrame, prefix: str) -> DataFrame:
-    columns = [
-        F.col("id"),
-        F.col("prediction").alias(f"{prefix}_prediction"),
-        F.when(F.col("prediction") == 1.0, CHARGED_OFF)
-        .otherwise(FULLY_PAID)
-        .alias(f"{prefix}_predicted_status"),
-    ]
-    for vector, suffix in (("probability", "probability"), ("rawPrediction", "score")):
-        if vector in predictions.columns:
-            columns.append(
-                vector_to_array(vector)[1].alias(f"{prefix}_{suffix}_charged_off")
-            )
-    return predictions.select(*columns)
+    return predictions.select(
+        "id",
+        *[
+            value().alias(f"{prefix}_{suffix}")
+            for suffix, needs, value in MODEL_OUTPUTS
+            if needs in predictions.columns
+        ],
+    )
 
 
 def join_model_outputs(sample: DataFrame, predictions: Mapping[str, DataFrame]) -> DataFrame:
@@ -182,9 +206,8 @@ def sample_predictions(
     raw_test: DataFrame, predictions: Mapping[str, DataFrame], rows: int = 10
 ) -> DataFrame:
     """The test rows with the lowest ids, in full, with what each model says of them."""
-    sample = (
-        raw_test.orderBy("id")
-        .limit(rows)
-        .withColumnsRenamed({"loan_status": "actual_status", "label": "actual_label"})
+    lowest = raw_test.orderBy("id").limit(rows)
+    renamed = lowest.withColumnsRenamed(
+        {old: f"actual_{new}" for old, new in (("loan_status", "status"), ("label", "label"))}
     )
-    return join_model_outputs(sample, predictions)
+    return join_model_outputs(renamed, predictions)

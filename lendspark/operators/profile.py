@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.constants import PERCENTILES, Buckets
 from lendspark.functions.buckets import bucket
 from lendspark.functions.measures import percent, row_count
-from lendspark.operators.running import RANGE, key_ranges, range_starts
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,22 +49,6 @@ def status_distribution(df: DataFrame, column: str = "loan_status") -> DataFrame
     return with_share(df.groupBy(value).agg(row_count().alias("count")))
 
 
-def status_distribution_crossed(df: DataFrame, column: str = "loan_status") -> DataFrame:
-    """The same by joining each row with the one-row grand total before grouping.
-
-    Reads the table twice; :func:`status_distribution` is the one to use.
-    """
-    total = df.agg(row_count().alias("total_rows"))
-    return (
-        df.crossJoin(F.broadcast(total))
-        .groupBy(F.coalesce(F.col(column), F.lit("NULL")).alias(column))
-        .agg(
-            row_count().alias("count"),
-            percent(row_count(), F.max("total_rows"), 4).alias("share_pct"),
-        )
-    )
-
-
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows and share of every value of every column, in long form."""
     texts = df.select(*[F.col(name).cast("string").alias(name) for name in columns])
@@ -88,14 +71,9 @@ def distribution(df: DataFrame, buckets: Mapping[str, Buckets]) -> DataFrame:
     return with_share(counts, ["feature"])
 
 
-def value_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(position, value, n)``: how often each number occurs in each column."""
-    numbers = F.array(*[F.col(name).cast("double") for name in columns])
-    return (
-        df.select(F.posexplode(numbers).alias("position", "value"))
-        .groupBy("position", "value")
-        .agg(row_count().alias("n"))
-    )
+# Partial results are merged in this many places before they are merged in one.
+MERGE_GROUPS = 64
+SKETCH_ACCURACY = 10_000
 
 
 def numeric_summary(
@@ -108,67 +86,116 @@ def numeric_summary(
     ``percentiles`` maps output names to fractions written as decimal text. The
     value taken is the first one whose rank reaches ``ceil(fraction * count)``.
 
-    A percentile sketch keeps state per task and merges all of it in one place. The
-    histogram instead shrinks on the map side to the distinct numbers, and all
-    statistics follow from it, so the table itself is read once.
+    One aggregate per group of partitions gives everything that can be merged, and a
+    sketch of each percentile. The percentile of the whole lies between the least and the
+    greatest of those of the groups, so a second pass counts what lies below, and groups
+    only the values in between.
     """
-    histogram = value_histogram(df, columns).withColumn(
-        "known", F.when(F.col("value").isNull(), 0).otherwise(F.col("n"))
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    fractions = [float(text) for text in percentiles.values()]
+    slack = 2 / SKETCH_ACCURACY
+    bounds = [max(0.0, f - slack) for f in fractions] + [min(1.0, f + slack) for f in fractions]
+
+    def partial(name: str) -> Column:
+        value = F.col(name)
+        return F.struct(
+            row_count().alias("rows"),
+            F.count(value).alias("n"),
+            F.min(value).alias("least"),
+            F.max(value).alias("most"),
+            F.avg(value).alias("mean"),
+            F.var_pop(value).alias("variance"),
+            F.percentile_approx(value, bounds, SKETCH_ACCURACY).alias("bounds"),
+        ).alias(name)
+
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    grouped = numbers.groupBy(group.alias("_group")).agg(*[partial(c) for c in numbers.columns])
+    parts = grouped.select(F.posexplode(F.array(*numbers.columns)).alias("position", "part"))
+    share = F.col("part.n") / F.col("_n")
+    whole = Window.partitionBy("position")
+    mean = F.sum(F.col("part.mean") * share)
+    shift = F.col("part.mean") - F.col("_mean")
+    at = lambda k: F.get("part.bounds", k)
+    last = len(fractions)
+    basics = (
+        parts.withColumn("_n", F.nullif(F.sum("part.n").over(whole), F.lit(0)))
+        .withColumn("_mean", F.sum(F.col("part.mean") * share).over(whole))
+        .groupBy("position")
+        .agg(
+            F.sum("part.n").alias("non_null_count"),
+            (F.sum("part.rows") - F.sum("part.n")).alias("null_count"),
+            F.min("part.least").alias("min_value"),
+            F.max("part.most").alias("max_value"),
+            mean.alias("avg_value"),
+            F.sqrt(F.sum((F.col("part.variance") + shift * shift) * share)).alias("stddev_value"),
+            F.array(
+                *[
+                    F.struct(F.min(at(k)).alias("low"), F.max(at(last + k)).alias("high"))
+                    for k in range(last)
+                ]
+            ).alias("brackets"),
+        )
     )
-    ranges = key_ranges(histogram, [F.col("value")], ["position"])
-
-    # One row per column from here on, unless said otherwise.
-    known = F.sum("known")
-    basics = ranges.groupBy("position").agg(
-        known.alias("non_null_count"),
-        (F.sum("n") - known).alias("null_count"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        (F.sum(F.col("value") * F.col("n")) / F.nullif(known, F.lit(0))).alias("avg_value"),
+
+    # One row with the brackets of all columns goes to every task.
+    brackets = basics.groupBy().agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "brackets"))).alias("brackets")
+    )
+    looked = numbers.crossJoin(F.broadcast(brackets))
+
+    def bracket(k: int, p: int) -> Column:
+        return F.get(F.col("brackets")[k], p)
+
+    pairs = [(k, p) for k in range(len(columns)) for p in range(last)]
+    below = looked.agg(
+        *[F.count_if(F.col(f"c{k}") < bracket(k, p)["low"]).alias(f"{k}_{p}") for k, p in pairs]
+    ).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(k).alias("position"), F.lit(p).alias("p"), F.col(f"{k}_{p}").alias("below")
+                    )
+                    for k, p in pairs
+                ]
+            )
+        )
     )
 
-    # Per column and percentile, the one range that holds it; then only those ranges.
-    fractions = F.create_map(*[F.lit(text) for pair in percentiles.items() for text in pair])
-    rank = F.ceil(F.col("fraction").cast("decimal(9,8)") * F.col("non_null_count"))
-    located = (
-        basics.select("position", "non_null_count", F.explode(fractions).alias("name", "fraction"))
-        .select("position", "name", rank.alias("rank"))
-        .join(F.broadcast(range_starts(ranges, ["known"], ["position"])), "position")
-        .where("start_known < rank AND rank <= end_known")
+    def inside(k: int, p: int) -> Column:
+        value, limits = F.col(f"c{k}"), bracket(k, p)
+        entry = F.struct(F.lit(k).alias("position"), F.lit(p).alias("p"), value.alias("value"))
+        return F.when((value >= limits["low"]) & (value <= limits["high"]), entry)
+
+    counted = (
+        looked.select(F.inline(F.array_compact(F.array(*[inside(k, p) for k, p in pairs]))))
+        .groupBy("position", "p", "value")
+        .agg(row_count().alias("n"))
+    )
+    wanted = basics.select("position", F.posexplode(F.array(*map(F.lit, percentiles.values()))).alias("p", "f"), "non_null_count").select(
+        "position", "p", F.ceil(F.col("f").cast("decimal(9,8)") * F.col("non_null_count")).alias("rank")
     )
-    upwards = Window.partitionBy("position", "name").orderBy("value")
+    upwards = Window.partitionBy("position", "p").orderBy("value")
     picked = (
-        ranges.where("known > 0")
-        .join(F.broadcast(located), ["position", RANGE])
-        .withColumn("cum_known", F.col("start_known") + F.sum("known").over(upwards))
-        .where("cum_known >= rank")
+        counted.join(F.broadcast(below), ["position", "p"])
+        .join(F.broadcast(wanted), ["position", "p"])
+        .withColumn("_reached", F.col("below") + F.sum("n").over(upwards))
+        .where("_reached >= rank")
         .groupBy("position")
         .agg(
             *[
-                F.min(F.when(F.col("name") == name, F.col("value"))).alias(name)
-                for name in percentiles
+                F.min(F.when(F.col("p") == p, F.col("value"))).alias(name)
+                for p, name in enumerate(percentiles)
             ]
         )
     )
 
-    distance = F.pow(F.col("value") - F.col("avg_value"), F.lit(2)) * F.col("n")
-    deviations = (
-        ranges.join(F.broadcast(basics.select("position", "avg_value", "non_null_count")), "position")
-        .groupBy("position")
-        .agg(
-            F.sqrt(F.sum(distance) / F.nullif(F.first("non_null_count"), F.lit(0))).alias(
-                "stddev_value"
-            )
-        )
-    )
-
     names = F.posexplode(F.array(*map(F.lit, columns))).alias("position", "feature")
     return (
         df.sparkSession.range(1)
         .select(names)
-        .join(F.broadcast(basics), "position", "left")
+        .join(F.broadcast(basics.drop("brackets")), "position", "left")
         .join(F.broadcast(picked), "position", "left")
-        .join(F.broadcast(deviations), "position", "left")
         .select(
             "feature",
             F.coalesce("non_null_count", F.lit(0)).alias("non_null_count"),
@@ -183,14 +210,9 @@ def numeric_summary(
 
 
 def column_catalogue(df: DataFrame) -> DataFrame:
-    """Name, type and nullability of each column.
+    """Name, type and nullability of each column, as declared; no row is read.
 
-    A file's own flags say that everything may be missing, so nullability is what
-    the rows show: whether the column holds any NULL.
+    :func:`null_profile` tells where values are in fact missing.
     """
-    types = F.create_map(*[F.lit(text) for pair in df.dtypes for text in pair])
-    return null_profile(df, df.columns).select(
-        F.col("column_name").alias("name"),
-        types[F.col("column_name")].alias("type"),
-        (F.col("null_count") > 0).alias("nullable"),
-    )
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema]
+    return df.sparkSession.createDataFrame(rows, "name STRING, type STRING, nullable BOOLEAN")

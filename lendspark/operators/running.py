@@ -13,19 +13,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendspark.session import scratch_path
-
 RANGE = "_range"
 
 
-def key_ranges(df: DataFrame, order_by: Sequence[Column], groups: Sequence[str] = ()) -> DataFrame:
+def key_ranges(
+    df: DataFrame, order_by: Sequence[Column], path: str, groups: Sequence[str] = ()
+) -> DataFrame:
     """``df`` with ``_range``, rising in sort order within each of ``groups``.
 
     Sort keys must be distinct within a group, or else one of them could fill a range;
-    aggregate by them beforehand. The result is written to the shared folder: all that
-    follows has to see the same cuts, also after an executor is lost.
+    aggregate by them beforehand. The result is written to ``path``, in a folder that all
+    executors share: all that follows has to see the same cuts, also after an executor is
+    lost. The caller removes it.
     """
-    path = scratch_path(df.sparkSession, "ranges")
     keys = [F.col(name) for name in groups] + list(order_by)
     cut = df.repartitionByRange(*keys).withColumn(RANGE, F.spark_partition_id())
     cut.write.parquet(path)

@@ -61,19 +61,6 @@ class NegativeClipper(
         clipped = F.transform(entries, lambda x: F.greatest(x, F.lit(0.0)))
         return dataset.withColumn(self.getOutputCol(), array_to_vector(clipped))
 
-# Parameters without influence on the order of the scores, and so on the area under a
-# curve: the cut between the classes, and the shape in which partial sums are merged.
-NEUTRAL_PARAMS = {"thresholds", "aggregationDepth"}
-
-
-def distinct_grid(grid: Mapping[str, Sequence]) -> dict[str, Sequence]:
-    """``grid`` without combinations that must come out equal.
-
-    The first of several equal combinations wins a search, so keeping the first value
-    of a neutral parameter finds the same one with fewer fits.
-    """
-    return {name: vals[:1] if name in NEUTRAL_PARAMS else vals for name, vals in grid.items()}
-
 
 def _bayes(**params) -> Pipeline:
     # Naive Bayes takes no negative values, hence the scaler. A row to be scored may
@@ -123,16 +110,6 @@ def param_maps(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
     return [dict(zip(params, values)) for values in product(*grid.values())]
 
 
-def fit_partitions(df: DataFrame, rows: int = 25_000) -> DataFrame:
-    """``df`` in partitions of at least about ``rows`` rows.
-
-    A fit runs a job or more per iteration, and a small frame in many partitions
-    spends it on starting tasks. Partitions that hold enough are left alone.
-    """
-    enough = max(1, -(-df.count() // rows))
-    return df.coalesce(enough) if enough < df.rdd.getNumPartitions() else df
-
-
 def with_folds(df: DataFrame, folds: int = CV_FOLDS, key: str = "id") -> DataFrame:
     """``df`` with a ``fold`` that all copies of a row share."""
     return df.withColumn("fold", (millionths(F.col(key), SEED) % folds).cast("int"))
@@ -145,8 +122,7 @@ class Search:
     ``group_copies`` keeps the copies that balancing made of a row in one fold.
     Without it they may be in the fitted and the held-out part at once, which
     flatters the scores; that is the default, as it is how the published figures
-    came about. ``skip_equal`` leaves out fits that :func:`distinct_grid` shows to be
-    repetitions.
+    came about.
     """
 
     grid: Mapping[str, Sequence]
@@ -154,17 +130,15 @@ class Search:
     parallelism: int = CV_PARALLELISM
     metric: str = CV_METRIC
     group_copies: bool = False
-    skip_equal: bool = True
 
 
 def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossValidatorModel:
-    """Search the grid on the training rows alone and refit the best on all of them."""
+    """Search the whole grid on the training rows alone and refit the best on all of them."""
     search = search or Search(SEARCH_GRIDS[family])
     estimator = search_estimator(family)
-    grid = distinct_grid(search.grid) if search.skip_equal else search.grid
     validator = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=param_maps(estimator, grid),
+        estimatorParamMaps=param_maps(estimator, search.grid),
         evaluator=BinaryClassificationEvaluator(metricName=search.metric, numBins=0),
         numFolds=search.folds,
         parallelism=search.parallelism,
@@ -175,7 +149,7 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
         validator = validator.setFoldCol("fold")
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return validator.fit(fit_partitions(train))
+        return validator.fit(train)
     finally:
         train.unpersist()
 

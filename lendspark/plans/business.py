@@ -98,3 +98,12 @@ REPORTS = {
     "q5": default_rate_by_grade_and_ownership,
     "q6": default_rate_by_fico,
 }
+
+REPORT_ORDERS = {
+    "q1": ["grade"],
+    "q2": ["purpose"],
+    "q3": ["issue_year"],
+    "q4": ["dti_bucket"],
+    "q5": ["grade", "home_ownership"],
+    "q6": ["avg_fico"],
+}

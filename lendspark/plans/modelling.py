@@ -22,10 +22,15 @@ from lendspark.operators.training import (
     Search,
     baseline_estimator,
     describe_params,
-    fit_partitions,
     tune,
 )
-from lendspark.sources.writers import write_parquet
+from lendspark.sources.writers import (
+    export_csv,
+    save_json_artifact,
+    save_model,
+    save_predictions,
+    write_parquet,
+)
 
 
 @dataclass(frozen=True)
@@ -103,26 +108,56 @@ def build_training_data(
 
 @dataclass(frozen=True)
 class Fitted:
-    """A model, its predictions for the test rows, and its settings in words."""
+    """A model, its stored predictions for the test rows, and its settings in words.
+
+    Metrics, distributions and samples read what is stored; nothing is scored again.
+    """
 
     family: str
     model: Model
     predictions: DataFrame
     params: str = ""
+    combinations: int = 0
 
     def metrics(self, with_params: bool = False) -> DataFrame:
         row = evaluate(self.predictions, self.family)
         return row.withColumn("best_params", F.lit(self.params)) if with_params else row
 
 
-def fit_baseline(family: str, data: TrainingData) -> Fitted:
-    model = baseline_estimator(family).fit(fit_partitions(data.train_balanced))
-    return Fitted(family, model, model.transform(data.test_encoded))
+def _scored(model: Model, data: TrainingData, path: str) -> DataFrame:
+    """Predictions of all test rows, written to ``path``."""
+    scored = model.transform(data.test_encoded)
+    outputs = ("id", "label", "rawPrediction", "probability", "prediction")
+    write_parquet(scored.select(*[name for name in outputs if name in scored.columns]), path)
+    return scored.sparkSession.read.parquet(path)
+
+
+def fit_baseline(family: str, data: TrainingData, root: str) -> Fitted:
+    model = baseline_estimator(family).fit(data.train_balanced)
+    return Fitted(family, model, _scored(model, data, f"{root}/baseline_{family}"))
 
 
-def fit_tuned(family: str, data: TrainingData, search: Search | None = None) -> Fitted:
-    model = tune(family, data.train_balanced, search).bestModel
-    return Fitted(family, model, model.transform(data.test_encoded), describe_params(model))
+def fit_tuned(
+    family: str, data: TrainingData, root: str, search: Search | None = None
+) -> Fitted:
+    found = tune(family, data.train_balanced, search)
+    model = found.bestModel
+    predictions = _scored(model, data, f"{root}/tuned_{family}")
+    return Fitted(family, model, predictions, describe_params(model), len(found.avgMetrics))
+
+
+def save_artifacts(data: TrainingData, fits: Mapping[str, Fitted], root: str) -> None:
+    """What a training run leaves: both sides as JSON, and per model its own files.
+
+    The training side is shuffled. Per model there are ``model``, ``predictions`` and
+    ``metrics`` below ``root/<family>``.
+    """
+    save_json_artifact(prep.shuffle_rows(data.train_balanced), f"{root}/train")
+    save_json_artifact(data.test_encoded, f"{root}/test")
+    for family, fit in fits.items():
+        save_model(fit.model, f"{root}/{family}/model")
+        save_predictions(fit.predictions, f"{root}/{family}/predictions")
+        export_csv(fit.metrics(with_params=bool(fit.params)), f"{root}/{family}/metrics")
 
 
 def comparison(fits: Mapping[str, Fitted], with_params: bool = False) -> DataFrame:

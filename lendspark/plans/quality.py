@@ -55,3 +55,25 @@ REPORTS = {
     "dq_numeric_summary": numeric_report,
     "dq_numeric_distributions": bucket_report,
 }
+
+# Published column types of the reports.
+_SHARES = "`count` BIGINT, share_pct DOUBLE"
+REPORT_SCHEMAS = {
+    "dq_null_profile": "column_name STRING, null_count BIGINT, total_rows BIGINT, null_pct DOUBLE",
+    "dq_loan_status_distribution": f"loan_status STRING, {_SHARES}",
+    "dq_binary_target_distribution": f"label INT, loan_status STRING, {_SHARES}",
+    "dq_categorical_value_counts": f"feature STRING, value STRING, {_SHARES}",
+    "dq_numeric_summary": "feature STRING, non_null_count BIGINT, null_count BIGINT,"
+    " min_value DOUBLE, p25 DOUBLE, median DOUBLE, p75 DOUBLE, p95 DOUBLE, max_value DOUBLE,"
+    " avg_value DOUBLE, stddev_value DOUBLE",
+    "dq_numeric_distributions": f"feature STRING, bucket STRING, {_SHARES}",
+}
+
+REPORT_ORDERS = {
+    "dq_null_profile": ["column_name"],
+    "dq_loan_status_distribution": ["count", "loan_status"],
+    "dq_binary_target_distribution": ["label"],
+    "dq_categorical_value_counts": ["feature", "value"],
+    "dq_numeric_summary": ["feature"],
+    "dq_numeric_distributions": ["feature", "bucket"],
+}

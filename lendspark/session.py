@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,8 +31,9 @@ def local_session(cores: int | str = "*", app: str = "lendspark", **conf) -> Spa
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder of this cluster.
 
-    Read from ``spark.checkpoint.dir`` (or from a directory set on the context).
-    Only a session with neither, such as a test, gets a local folder.
+    Read from ``spark.checkpoint.dir`` (or from a directory set on the context). A local
+    session with neither, such as a test, gets a temporary folder; on a cluster each
+    executor would see another one, so there that is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,11 +43,29 @@ def checkpoint_root(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if active is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lendspark-checkpoint-"))
         active = context.getCheckpointDir()
     return active
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A path in the shared folder that is gone afterwards, also after an error."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, never handed out twice."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

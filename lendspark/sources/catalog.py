@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lendspark.constants import SUMMARY_SCHEMAS
 from lendspark.sources.writers import as_declared, export_csv
 
 
+def quoted(name: str) -> str:
+    """A name, with or without its database, safe to stand in a statement."""
+    if name.startswith("`"):
+        return name
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}")
 
 
 def analyze(spark: SparkSession, table: str, columns: bool = False) -> None:
     """Collect table statistics, and column statistics on request."""
     suffix = " FOR ALL COLUMNS" if columns else ""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{suffix}")
+    spark.sql(f"ANALYZE TABLE {quoted(table)} COMPUTE STATISTICS{suffix}")
 
 
 def table_statistics(spark: SparkSession, table: str) -> dict[str, int]:
     """Rows and bytes that the catalog holds for ``table`` after :func:`analyze`."""
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(table)}").where("col_name = 'Statistics'")
     parts = details.first()["data_type"].replace(",", "").split()
     return {unit: int(number) for number, unit in zip(parts[::2], parts[1::2])}
 
@@ -37,19 +45,27 @@ def publish_dashboard(summaries: Mapping[str, DataFrame], root: str) -> None:
 
 
 def register_summaries(
-    spark: SparkSession, root: str, database: str = "default", prefix: str = "ml_"
+    spark: SparkSession,
+    root: str,
+    database: str = "default",
+    prefix: str = "ml_",
+    names: Iterable[str] = tuple(SUMMARY_SCHEMAS),
 ) -> dict[str, str]:
-    """External tables over the folders of :func:`publish_dashboard`.
+    """External tables over those folders of :func:`publish_dashboard` that ``names`` tells.
 
     Quoted fields are honoured, so parameter text with commas stays whole.
     """
     tables = {}
-    for name, fields in SUMMARY_SCHEMAS.items():
-        table = f"`{database}`.`{prefix}{name}`"
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(
-            f"CREATE TABLE {table} ({fields}) USING csv"
-            f""" OPTIONS (header 'true', escape '"') LOCATION '{root}/{name}'"""
+    for name in names:
+        table = f"{database}.{prefix}{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
+        spark.catalog.createTable(
+            quoted(table),
+            path=f"{root}/{name}",
+            source="csv",
+            schema=T.StructType.fromDDL(SUMMARY_SCHEMAS[name]),
+            header="true",
+            escape='"',
         )
-        tables[name] = table
+        tables[name] = quoted(table)
     return tables

@@ -5,48 +5,85 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendspark.constants import LOAN_COLUMNS
 
 
+# Where Spark puts a record that does not have the fields of the header.
+BROKEN = "_broken_record"
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """``df`` with blanks around its column names removed.
 
     Raises ``ValueError`` naming, in order, the columns that are not there.
     """
     df = df.toDF(*[name.strip() for name in df.columns])
-    missing = sorted(set(columns) - set(df.columns))
-    if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
+    absent = [name for name in sorted(set(columns)) if name not in df.columns]
+    if absent:
+        raise ValueError(f"The header lacks: {', '.join(absent)}")
     return df
 
 
+def _asks_for(columns: Iterable[str]) -> Column:
+    """True for every row, but not to be known without all of ``columns``.
+
+    Fields that nobody asks for are not parsed, and so not checked.
+    """
+    return F.xxhash64(*[F.col(f"`{name}`") for name in columns]) >= F.lit(-(2**63))
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str,
     columns: Iterable[str] = tuple(LOAN_COLUMNS),
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """The wanted text columns of a headered CSV export, in the given order.
 
-    An empty field is NULL; undecodable bytes become the replacement character.
-    Files are split between tasks unless ``multi_line`` is set, which quoted line
-    breaks need.
+    An empty field is NULL; undecodable bytes become the replacement character. Quoted
+    fields may hold line breaks, so a task reads whole files. With ``multi_line`` off
+    files are split between tasks, and a record that is not complete on its line fails
+    the read.
     """
     columns = list(columns)
-    raw = spark.read.csv(
-        path, header=True, encoding="UTF-8", quote='"', escape='"', multiLine=multi_line
+    options = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+    if multi_line:
+        raw = spark.read.csv(path, multiLine=True, **options)
+        return require_columns(raw, columns).select(*columns)
+    names = spark.read.csv(path, **options).columns
+    fields = [T.StructField(name, T.StringType()) for name in [*names, BROKEN]]
+    lines = spark.read.csv(
+        path, schema=T.StructType(fields), columnNameOfCorruptRecord=BROKEN, **options
     )
-    return require_columns(raw, columns).select(*columns)
+    message = F.concat(F.lit("Not a whole record on this line: "), F.col(BROKEN))
+    broken = _asks_for(names) & F.col(BROKEN).isNotNull()
+    whole = lines.where(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(True))
+    return require_columns(whole.drop(BROKEN), columns).select(*columns)
 
 
 def load_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A cleaned CSV under a declared schema; a value of the wrong type fails the load."""
-    return spark.read.csv(
-        path, schema=schema, header=True, nullValue="", escape='"', mode="FAILFAST"
+    """A cleaned CSV under a declared schema.
+
+    A header that differs from the schema, or a value of the wrong type in any column,
+    whether it is selected afterwards or not, fails the load.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    loaded = spark.read.csv(
+        path,
+        schema=schema,
+        header=True,
+        nullValue="",
+        escape='"',
+        multiLine=True,
+        enforceSchema=False,
+        mode="FAILFAST",
     )
+    return loaded.where(_asks_for(loaded.columns))
 
 
 def read_parquet(
@@ -62,14 +99,3 @@ def read_source(spark: SparkSession, name_or_path: str) -> DataFrame:
         return spark.table(name_or_path)
     except (AnalysisException, ParseException):
         return spark.read.parquet(name_or_path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, if its files are too small to be split that far.
-
-    Files are split by size, and only down to a few megabytes. An input with fewer
-    splits than there are cores is therefore small, and moving it is cheap next to
-    leaving cores idle. Any larger input is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

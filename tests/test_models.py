@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import registry
 from lendspark.operators import evaluation, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
+from lendspark.session import checkpoint_root
 from lendspark.sources import writers
 from tests.conftest import SMALL
 
@@ -70,21 +72,30 @@ def test_search_grids_are_complete():
         assert len(maps) == 27 and all(len(m) == 3 for m in maps)
 
 
-def test_equal_combinations_are_tried_once():
-    sizes = {
-        family: len(training.param_maps(training.search_estimator(family), training.distinct_grid(grid)))
-        for family, grid in training.SEARCH_GRIDS.items()
-    }
-    assert sizes == {RANDOM_FOREST: 27, LINEAR_SVC: 9, NAIVE_BAYES: 9}
-
-
 def test_thresholds_do_not_change_the_area(data):
     grid = {"thresholds": [[1.0, 1.0], [1.0, 2.0], [2.0, 1.0]]}
-    search = Search(grid, folds=2, skip_equal=False)
-    metrics = training.tune(NAIVE_BAYES, data.train_balanced, search).avgMetrics
+    metrics = training.tune(NAIVE_BAYES, data.train_balanced, Search(grid, folds=2)).avgMetrics
     assert metrics == pytest.approx([metrics[0]] * 3, abs=1e-12)
 
 
+def test_every_combination_is_tried(data):
+    found = training.tune(NAIVE_BAYES, data.train_balanced.limit(200), Search(training.SEARCH_GRIDS[NAIVE_BAYES], folds=2))
+    assert len(found.avgMetrics) == 27
+
+
+def test_metrics_of_no_predictions_are_one_row_of_zeros(spark):
+    rows = evaluation.evaluate(scored(spark, 5).limit(0), "none").collect()
+    assert [tuple(row) for row in rows] == [("none", *[0.0] * 6, *[0] * 4)]
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    evaluation.ranking_areas(scored(spark, 50)).collect()
+    evaluation.evaluate(scored(spark, 50), "m").collect()
+    assert set(root.iterdir()) == before
+
+
 @pytest.fixture(autouse=True)
 def _context(spark):
     """Estimators need a running session."""
@@ -97,13 +108,6 @@ def test_unknown_family():
         training.search_estimator("Tree")
 
 
-def test_only_small_partitions_are_merged(spark):
-    assert training.fit_partitions(spark.range(0, 1000, 1, 8), 400).rdd.getNumPartitions() == 3
-    assert training.fit_partitions(spark.range(0, 0, 1, 8)).rdd.getNumPartitions() <= 1
-    large = spark.range(0, 1000, 1, 8)
-    assert training.fit_partitions(large, 100) is large
-
-
 def test_copies_share_a_fold(data):
     folds = training.with_folds(data.train_balanced, 3)
     per_row = folds.groupBy("id").agg(F.count_distinct("fold").alias("n"))

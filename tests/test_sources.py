@@ -7,7 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lendspark.constants import LOAN_COLUMNS, LOAN_SCHEMA
-from lendspark.session import checkpoint_root, scratch_path
+from lendspark.operators.validation import ConstraintViolation
+from lendspark.plans import business
+from lendspark.plans.ingest import ingest
+from lendspark.plans.reporting import publish_reports
+from lendspark.session import checkpoint_root, scratch_path, work_folder
 from lendspark.sources import catalog, readers, writers
 
 
@@ -25,7 +29,7 @@ def test_raw_csv_projects_in_order_and_ignores_extras(spark, tmp_path):
 def test_missing_headers_are_listed_in_order(spark, tmp_path):
     file = tmp_path / "raw.csv"
     file.write_text("b\n1\n")
-    with pytest.raises(ValueError, match="Missing required columns: a, c$"):
+    with pytest.raises(ValueError, match="The header lacks: a, c$"):
         readers.read_raw_csv(spark, str(file), ["c", "b", "a"])
 
 
@@ -150,8 +154,64 @@ def test_configured_shared_folder_is_used():
     assert scratch_path(session, "x").startswith("hdfs://shared/checkpoints/x-")
 
 
-def test_spread_only_touches_small_inputs(spark, tmp_path):
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
-    assert readers.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 9)
-    assert readers.spread(wide) is wide
+def test_a_cluster_needs_a_shared_folder():
+    session = Mock()
+    session.conf.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session, "x")
+
+
+def test_work_folder_is_removed_also_after_an_error(spark):
+    with pytest.raises(RuntimeError):
+        with work_folder(spark, "w") as path:
+            spark.range(3).write.parquet(path)
+            raise RuntimeError
+    assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_split_reading_fails_on_records_over_several_lines(spark, tmp_path):
+    file = tmp_path / "raw.csv"
+    file.write_text('a,b\n1,"two\nlines"\n')
+    rows = readers.read_raw_csv(spark, str(file), ["a", "b"]).collect()
+    assert [tuple(r) for r in rows] == [("1", "two\nlines")]
+    with pytest.raises((PySparkException, Py4JJavaError), match="Not a whole record"):
+        readers.read_raw_csv(spark, str(file), ["a"], multi_line=False).collect()
+    file.write_text("a,b\n1,2\n3,\n")
+    rows = readers.read_raw_csv(spark, str(file), ["b"], multi_line=False).collect()
+    assert [r["b"] for r in rows] == ["2", None]
+
+
+def test_typed_csv_checks_columns_that_nobody_reads(spark, tmp_path):
+    file = tmp_path / "typed.csv"
+    file.write_text("a,b\n1,x\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.load_typed_csv(spark, str(file), "a INT, b INT").select("a").count()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.load_typed_csv(spark, str(file), "b STRING, a INT").collect()
+
+
+def test_folder_with_a_quote_in_its_name(spark, tmp_path):
+    root = str(tmp_path / "it's")
+    split = spark.createDataFrame([("d", 1, 2)], "dataset STRING, rows BIGINT, feature_count INT")
+    catalog.publish_dashboard({"split_summary": split}, root)
+    tables = catalog.register_summaries(spark, root, prefix="quoted_", names=["split_summary"])
+    assert set(tables) == {"split_summary"}
+    assert tuple(spark.table(tables["split_summary"]).first()) == ("d", 1, 2)
+
+
+def test_exports_are_sorted(spark, loans, tmp_path):
+    tables = publish_reports(loans, str(tmp_path), "sorted_", {"q1": business.REPORTS["q1"]})
+    (file,) = (tmp_path / "export" / "q1").glob("*.csv")
+    grades = [line.split(",")[0] for line in file.read_text().splitlines()[1:]]
+    assert grades == sorted(grades) and len(grades) == 7
+    assert spark.table(tables["q1"]).count() == 7
+
+
+def test_ingest_refuses_repeated_keys_before_it_writes(spark, tmp_path):
+    schema = ", ".join(f"{name} STRING" for name in LOAN_COLUMNS)
+    rows = [tuple("7" if name == "id" else None for name in LOAN_COLUMNS)] * 2
+    with pytest.raises(ConstraintViolation):
+        ingest(spark.createDataFrame(rows, schema), "refused", str(tmp_path / "r"), str(tmp_path / "c"))
+    assert not (tmp_path / "r").exists() and not (tmp_path / "c").exists()

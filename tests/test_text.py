@@ -31,6 +31,7 @@ def apply(spark, function, values):
         ("NaN", None),
         ("inf", None),
         ("-Infinity", None),
+        ("1e999", None),
         ("1,000", None),
         (None, None),
     ],
