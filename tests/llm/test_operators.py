@@ -428,7 +428,9 @@ def test_epochs_and_prefixes_meet_the_budget(spark):
 
 def test_lines_of_many_documents_deplete_those_made_of_them(spark):
     line = "menu of the site with some words in it that are always the same on all of its pages and longer"
-    rows = [(i, f"{line}\nand " + " ".join(f"own{i}x{k}" for k in range(60))) for i in range(100)]
+    random.seed(5)
+    own = lambda: " ".join("".join(random.choices("abcdefghij", k=8)) for _ in range(60))
+    rows = [(i, f"{line}\nand {own()}") for i in range(100)]
     rows += [(1000 + i, f"{line}\nonly {i} few words") for i in range(5)]
     kept = {r["doc_id"]: r["kept"] for r in line_quality.with_verdict(documents(spark, rows)).collect()}
     assert all(kept[i] for i in range(100)) and not any(kept[1000 + i] for i in range(5))
