@@ -719,14 +719,14 @@ ORACLES["joined_outputs"] = over(
 FROM scores""",
     "scores",
 )
-ORACLES["feature_info"] = " UNION ALL ".join(
+FEATURE_INFO = " UNION ALL ".join(
     f"SELECT '{name}' AS feature_name, '{kind}' AS feature_type"
     for kind, names in (("numeric", NUMERIC_FEATURES), ("categorical", CATEGORICAL_FEATURES))
     for name in names
 )
 _EXACT = {
     "split_summary": ("dataset", "rows", ORACLES["split_summary"]),
-    "feature_info": ("feature_name", "0", ORACLES["feature_info"]),
+    "feature_info": ("feature_name", "0", FEATURE_INFO),
     "label_distribution": ("concat(dataset, ' ', CAST(CAST(label AS INTEGER) AS VARCHAR))", "count", ORACLES["label_distribution"]),
     "baseline_evaluation": ("model", "total_rows", ORACLES["model_comparison"]),
     "evaluation": ("model", "total_rows", ORACLES["model_comparison"]),
