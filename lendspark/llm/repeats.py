@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.llm.common import content_key, partitions, stored
-from lendspark.llm.shingles import U64, mixed, powers, running_sum, stretch_hashes
+from lendspark.llm.shingles import U64, mixed, running_sum, stretch_hashes
 from lendspark.session import scratch_path
 
 KEY = ["k1", "k2"]
