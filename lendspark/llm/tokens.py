@@ -15,7 +15,7 @@ import numpy as np
 import regex
 
 # Words remembered per worker; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 # What is outside may be treated differently by two engines' character tables.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
 
@@ -72,13 +72,20 @@ class Tokenizer:
         return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            pieces = [word]
-        else:
-            found = self.pattern.findall(word)
-            pieces = [p.encode().decode("latin-1").translate(ALPHABET) for p in found]
-        ids = [token.id for piece in pieces for token in self.merge(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if word.isalpha() and word.isascii():
+            ids = [token.id for token in self.merge(word)]
+            return struct.pack(f"<{len(ids)}I", *ids)
+        # Mostly a word with a mark at its end; such pieces are known by themselves.
+        pieces = self.pattern.findall(word)
+        return b"".join([self._piece(p) for p in pieces])
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.known.get(piece)
+        if known is None:
+            letters = piece.encode().decode("latin-1").translate(ALPHABET)
+            ids = [token.id for token in self.merge(letters)]
+            known = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found: list[bytes] = [b""] * len(texts)
