@@ -6,9 +6,11 @@ are aggregated over its blocks; a path's own ratios are fused by multiplication
 with those smoothed along the page, and the paths above a threshold are content. Blocks inside the container
 of a content path belong to the same article, however short they are.
 
-What is never main text by its element, role or class is left out while parsing. Pages
-are taken one by one where they are read, so no page meets another and nothing is
-shuffled.
+What is never main text by its element or role is left out while parsing. A class or id
+only makes a block element a candidate: all words of one of its names must be hints, and
+its path must fall below the threshold too. Headings and inline elements are never left
+out by a name. Pages are taken one by one where they are read, so no page meets another
+and nothing is shuffled.
 
 Defined cases: NULL and empty html give an empty text; a page without markup is one
 block. Unclosed elements end with their parent, and stray end tags are ignored. NULL
@@ -49,6 +51,9 @@ HINTS = set(
     " recommended newsletter subscribe subscription signup login search popup modal overlay widget"
     " pagination pager comment comments disqus respond reply replies".split()
 )
+# Words that stand beside hints in names of page parts and say nothing about a topic.
+PLACES = set("site page main top bottom left right container wrapper box area block bar inner outer".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup caption figcaption legend summary".split())
 # A start tag of the first kind ends an open element of the second.
 ENDS = {
     "li": {"li"},
@@ -61,6 +66,8 @@ ENDS = {
 }
 SCOPES = set("html body main article section div ul ol dl table td th blockquote form".split())
 ROOMS = {"article", "main"}
+# Hints say nothing on a page of which less than this part is free of them.
+HINTED_PAGE = 0.05
 PUNCTUATION = re.compile(r"[.,;:!?…、。，；：！？¿¡]")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -75,27 +82,37 @@ class Ratios:
     threshold: float = 0.25
 
 
-def _unwanted(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether an element is left out, and the name it has in paths."""
+def _hinted(value: str) -> bool:
+    """Whether one of the names in a class or id consists of hints, but for words of place."""
+    for name in value.split():
+        words = set(re.split(r"[\W\d_]+", name)) - {""}
+        if words & HINTS and words <= HINTS | PLACES:
+            return True
+    return False
+
+
+def _judged(tag: str, attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element is left out, whether it is a candidate, and its name in paths."""
     if tag in LEFT_OUT:
-        return True, tag
-    name, drop = tag, bool(attributes) and bool(HIDDEN.search(attributes))
+        return True, False, tag
+    name, drop, hint = tag, bool(attributes) and bool(HIDDEN.search(attributes)), False
     for kind, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         value = next(filter(None, values), "").lower()
         if kind.lower() == "role":
             drop |= value in ROLES
         else:
             name += "." + value
-            drop |= not HINTS.isdisjoint(re.split(r"[^a-z]+", value))
-    return drop and tag not in ("html", "body", *ROOMS), name
+            hint |= _hinted(value)
+    exempt = tag in ("html", "body", *ROOMS)
+    return drop and not exempt, hint and not exempt and tag in BLOCKS - HEADINGS, name
 
 
 def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
-    """``(path, text, in_room)`` of the blocks in page order.
+    """``(path, text, hinted)`` of the blocks in page order.
 
-    ``in_room`` says whether an article or main element is around the block.
+    ``hinted`` says whether the block or an element around it is a candidate to leave out.
     """
-    stack: list[tuple[str, str, bool]] = []  # tag, name in paths, left out
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, name in paths, left out, candidate
     parts: list[str] = []
     at, end = 0, len(html)
 
@@ -103,12 +120,12 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            names = tuple(name for tag, name, _ in stack if tag in BLOCKS)
-            yield names, text, any(tag in ROOMS for tag, _, _ in stack)
+            names = tuple(name for tag, name, *_ in stack if tag in BLOCKS)
+            yield names, text, bool(stack) and stack[-1][3]
 
     def leave(place: int):
         """End all elements from ``place`` on, and the block if one of them is a block."""
-        if any(tag in BLOCKS for tag, _, _ in stack[place:]):
+        if any(tag in BLOCKS for tag, *_ in stack[place:]):
             yield from block()
         del stack[place:]
 
@@ -159,25 +176,26 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
         if tag in VOID:
             parts.append(" ")
             continue
-        drop, name = _unwanted(tag, attributes)
-        drop = drop or bool(stack and stack[-1][2])
+        drop, hint, name = _judged(tag, attributes)
+        if stack:
+            drop, hint = drop or stack[-1][2], hint or stack[-1][3]
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             at = stop.end() if stop else end
             continue
         if attributes.endswith("/") and tag not in BLOCKS:
             continue
-        stack.append((tag, name, drop))
+        stack.append((tag, name, drop, hint))
     yield from block()
 
 
-def content_blocks(html: str, ratios: Ratios) -> list[str]:
-    """The texts of the blocks that are content, in page order."""
-    found = list(blocks(html))
-    if any(in_room for _, _, in_room in found):
-        found = [one for one in found if one[2]]
-    if not found:
-        return []
+def _in_room(path: tuple[str, ...]) -> bool:
+    """Whether an article or main element is around the block."""
+    return any(name.partition(".")[0] in ROOMS for name in path)
+
+
+def _scores(found: list[tuple[tuple[str, ...], str, bool]], ratios: Ratios) -> dict[tuple, float]:
+    """The score of every path."""
     # Length and punctuation per path, as means over its blocks.
     totals: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
     for path, text, _ in found:
@@ -195,11 +213,33 @@ def content_blocks(html: str, ratios: Ratios) -> list[str]:
     score: dict[tuple, float] = defaultdict(float)
     for (path, text, _), value in zip(found, fused):
         score[path] += value * len(text) / totals[path][1]
-    best = max(score.values())
+    return score
+
+
+def _without_idle_hints(found: list) -> list:
+    """The blocks, none of them a candidate if nearly all text of a page is."""
+    plain = sum(len(text) for _, text, hinted in found if not hinted)
+    if plain >= HINTED_PAGE * sum(len(text) for _, text, _ in found):
+        return found
+    if any(_in_room(path) for path, _, hinted in found if not hinted):
+        return found
+    return [(path, text, False) for path, text, _ in found]
+
+
+def content_blocks(html: str, ratios: Ratios) -> list[str]:
+    """The texts of the blocks that are content, in page order."""
+    found = _without_idle_hints(list(blocks(html)))
+    if any(_in_room(path) for path, _, _ in found):
+        found = [one for one in found if _in_room(one[0])]
+    if not found:
+        return []
+    score = _scores(found, ratios)
+    plain = {path for path, _, hinted in found if not hinted} or set(score)
+    best = max(score[path] for path in plain)
     content = {path for path, value in score.items() if value >= ratios.threshold * best}
-    containers = {path[:-1] for path in content if path[:-1] and path[-2:-1] not in (("html",), ("body",))}
+    containers = {path[:-1] for path in content & plain if path[:-1] and path[-2:-1] not in (("html",), ("body",))}
     inside = lambda path: any(path[: len(c)] == c for c in containers)
-    return [text for path, text, _ in found if path in content or inside(path)]
+    return [text for path, text, hinted in found if path in content or (not hinted and inside(path))]
 
 
 def extract(

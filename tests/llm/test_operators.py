@@ -382,6 +382,17 @@ def test_main_text_of_a_page_with_everything():
     assert blocks == ["Title", "First <b> bold text, with commas.", "Second é, short.", "Item"]
 
 
+def test_words_of_names_do_not_take_text_out_of_an_article():
+    long = "A long sentence, with commas, that goes on for a while. " * 4
+    page = f"""<body><div class="ad">Buy this.</div><article><h1 id="search">Search</h1><p>{long}</p>
+    <h2 id="related-work">Related work</h2><section id="social-history"><p>{long}</p></section>
+    <div id="search-algorithms"><p>{long}</p></div><p>{long} An <span class="alert">alert</span> inside.</p>
+    <section id="comments"><p>{long}</p></section><div class="share">Share it</div></article></body>"""
+    kept = main_text.content_blocks(page, main_text.Ratios())
+    text = long.strip()
+    assert kept == ["Search", text, "Related work", text, text, f"{text} An alert inside.", text]
+
+
 def test_main_text_by_ratios_alone():
     page = "<div class=c><h2>Head</h2><p>Long text, with things. And more of it.</p></div><div class=x><a>a</a><a>b</a></div>"
     assert main_text.content_blocks(page, main_text.Ratios()) == ["Head", "Long text, with things. And more of it."]
