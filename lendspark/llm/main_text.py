@@ -3,7 +3,8 @@
 Method: tag-path ratios. The text of a page is split at block elements, and every block
 belongs to the path of tags from the root to it. Per path, text length and punctuation
 are aggregated over its blocks; a path's own ratios are fused by multiplication
-with those smoothed along the page, and the paths above a threshold are content. Blocks inside the container
+with those smoothed along the page, and the paths above a threshold are content. Only if
+the best path lies in an article or main element, what is outside of such is left out. Blocks inside the container
 of a content path belong to the same article, however short they are.
 
 What is never main text by its element or role is left out while parsing. A class or id
@@ -76,10 +77,12 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 
 @dataclass(frozen=True)
 class Ratios:
-    """Settings: reach of the smoothing in blocks, and the share of the best score needed."""
+    """Settings: reach of the smoothing in blocks, the share of the best score needed, and
+    what an article or main element counts for in the choice of the best path."""
 
     radius: int = 2
     threshold: float = 0.25
+    room: float = 2.0
 
 
 def _hinted(value: str) -> bool:
@@ -229,13 +232,15 @@ def _without_idle_hints(found: list) -> list:
 def content_blocks(html: str, ratios: Ratios) -> list[str]:
     """The texts of the blocks that are content, in page order."""
     found = _without_idle_hints(list(blocks(html)))
-    if any(_in_room(path) for path, _, _ in found):
-        found = [one for one in found if _in_room(one[0])]
     if not found:
         return []
     score = _scores(found, ratios)
     plain = {path for path, _, hinted in found if not hinted} or set(score)
-    best = max(score[path] for path in plain)
+    strongest = max(plain, key=lambda path: score[path] * (ratios.room if _in_room(path) else 1.0))
+    best = score[strongest]
+    if _in_room(strongest):
+        found = [one for one in found if _in_room(one[0])]
+        score = {path: score[path] for path, _, _ in found}
     content = {path for path, value in score.items() if value >= ratios.threshold * best}
     containers = {path[:-1] for path in content & plain if path[:-1] and path[-2:-1] not in (("html",), ("body",))}
     inside = lambda path: any(path[: len(c)] == c for c in containers)

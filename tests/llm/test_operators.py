@@ -393,6 +393,14 @@ def test_words_of_names_do_not_take_text_out_of_an_article():
     assert kept == ["Search", text, "Related work", text, text, f"{text} An alert inside.", text]
 
 
+def test_a_teaser_in_an_article_element_is_not_the_page():
+    long = "A long sentence, with commas, that goes on for a while. " * 8
+    post = f"<div class=post><p>{long}</p><p>{long}</p></div>"
+    teaser = "<div class=cards><article><h3>Other</h3><p>Read on, soon.</p></article></div>"
+    for page in (post + teaser, teaser + post):
+        assert main_text.content_blocks(page, main_text.Ratios()) == [long.strip()] * 2
+
+
 def test_main_text_by_ratios_alone():
     page = "<div class=c><h2>Head</h2><p>Long text, with things. And more of it.</p></div><div class=x><a>a</a><a>b</a></div>"
     assert main_text.content_blocks(page, main_text.Ratios()) == ["Head", "Long text, with things. And more of it."]
