@@ -5,7 +5,8 @@ belongs to the path of tags from the root to it. Per path, text length and punct
 are aggregated over its blocks; a path's own ratios are fused by multiplication
 with those smoothed along the page, and the paths above a threshold are content. Only if
 the best path lies in an article or main element, what is outside of such is left out. Blocks inside the container
-of a content path belong to the same article, however short they are.
+of the content belong to the same article, however short they are: its nearest article or
+main element, else the lowest element around all content paths.
 
 What is never main text by its element or role is left out while parsing. A class or id
 only makes a block element a candidate: all words of one of its names must be hints, and
@@ -25,6 +26,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +69,8 @@ ENDS = {
 }
 SCOPES = set("html body main article section div ul ol dl table td th blockquote form".split())
 ROOMS = {"article", "main"}
+# What is but a part of the element around it.
+PARTS = set("section blockquote ul ol li dl dt dd p pre figure details h1 h2 h3 h4 h5 h6".split())
 # Hints say nothing on a page of which less than this part is free of them.
 HINTED_PAGE = 0.05
 PUNCTUATION = re.compile(r"[.,;:!?…、。，；：！？¿¡]")
@@ -192,9 +196,13 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
     yield from block()
 
 
+def _tag(name: str) -> str:
+    return name.partition(".")[0]
+
+
 def _in_room(path: tuple[str, ...]) -> bool:
     """Whether an article or main element is around the block."""
-    return any(name.partition(".")[0] in ROOMS for name in path)
+    return any(_tag(name) in ROOMS for name in path)
 
 
 def _scores(found: list[tuple[tuple[str, ...], str, bool]], ratios: Ratios) -> dict[tuple, float]:
@@ -229,6 +237,43 @@ def _without_idle_hints(found: list) -> list:
     return [(path, text, False) for path, text, _ in found]
 
 
+def _containers(content: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """The paths of the elements that the content lies in.
+
+    They are the nearest article or main elements, where there are such; for all the rest,
+    the one element that is around it, or what that is but a part of.
+    """
+    found, rest = set(), []
+    for path in content:
+        room = max((k + 1 for k, name in enumerate(path) if _tag(name) in ROOMS), default=0)
+        if room:
+            found.add(path[:room])
+        else:
+            rest.append(path[:-1])
+    if rest:
+        common = commonprefix(rest)
+        while common and _tag(common[-1]) in PARTS:
+            common = common[:-1]
+        found.add(tuple(common))
+    return found
+
+
+def _holds(container: tuple[str, ...], path: tuple[str, ...], groups: set[tuple[str, ...]]) -> bool:
+    """Whether a block is kept for the container: all in it, and a title beside its way.
+
+    Where that is the whole page, a plain group right in it is kept only if it is one of
+    ``groups``, those with content.
+    """
+    if path[: len(container)] != container:
+        return _in_room(path) and _tag(path[-1]) == "h1" and container[: len(path) - 1] == path[:-1]
+    depth = len(container)
+    if depth and _tag(container[-1]) not in ("html", "body"):
+        return True
+    while depth < len(path) and _tag(path[depth]) in ("html", "body"):
+        depth += 1
+    return depth == len(path) or _tag(path[depth]) not in ("div", "center") or path[: depth + 1] in groups
+
+
 def content_blocks(html: str, ratios: Ratios) -> list[str]:
     """The texts of the blocks that are content, in page order."""
     found = _without_idle_hints(list(blocks(html)))
@@ -242,8 +287,9 @@ def content_blocks(html: str, ratios: Ratios) -> list[str]:
         found = [one for one in found if _in_room(one[0])]
         score = {path: score[path] for path, _, _ in found}
     content = {path for path, value in score.items() if value >= ratios.threshold * best}
-    containers = {path[:-1] for path in content & plain if path[:-1] and path[-2:-1] not in (("html",), ("body",))}
-    inside = lambda path: any(path[: len(c)] == c for c in containers)
+    containers = _containers(content & plain)
+    groups = {path[:k] for path in content for k in range(1, len(path) + 1)}
+    inside = lambda path: any(_holds(c, path, groups) for c in containers)
     return [text for path, text, hinted in found if path in content or (not hinted and inside(path))]
 
 

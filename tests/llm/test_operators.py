@@ -401,6 +401,27 @@ def test_a_teaser_in_an_article_element_is_not_the_page():
         assert main_text.content_blocks(page, main_text.Ratios()) == [long.strip()] * 2
 
 
+def test_short_blocks_beside_the_paragraphs_stay():
+    long = "A long sentence, with commas, that goes on for a while. " * 10
+    text = long.strip()
+    kept = lambda page: main_text.content_blocks(page, main_text.Ratios())
+    rest = "<ul><li>Item</li></ul><table><tr><td>Cell</td></tr></table><blockquote class=pull>Quote</blockquote>"
+    page = f"<article><h1>Title</h1><div class=body><p>{long}</p><p>{long}</p></div>{rest}</article>"
+    whole = ["Title", text, text, "Item", "Cell", "Quote"]
+    assert kept(f"<body>{page}</body>") == kept(page) == whole
+    assert kept(f"<body><main><h1>Title</h1><article>{page[23:]}</main></body>") == whole
+    for start in ("<html><body>", "<html class=a><body class=x>", "<body id=y>", ""):
+        flat = f"{start}<h1>Title</h1><p>{long}</p><p>{long}</p>{rest}<div class=links><a>Home</a></div>"
+        assert kept(flat) == whole
+        parts = f"{start}<div class=post><h1>Title</h1><div class=a><p>{long}</p></div><div class=b><p>{long}</p></div>{rest}</div>"
+        assert kept(parts + "<div class=links><a>Home</a></div>") == whole
+    teaser = f"<article><p>{long[:200]}</p></article>"
+    post = f"<div class=post><h1>Title</h1><p>{long}</p><p>{long}</p>{rest}</div>"
+    assert [one for one in kept(post + teaser) if one != text[:199].strip()][:6] == whole
+    quoted = f"<div class=post><blockquote><p>{long}</p></blockquote><p>Mine.</p></div><div class=x>Home</div>"
+    assert kept(quoted) == [text, "Mine."]
+
+
 def test_main_text_by_ratios_alone():
     page = "<div class=c><h2>Head</h2><p>Long text, with things. And more of it.</p></div><div class=x><a>a</a><a>b</a></div>"
     assert main_text.content_blocks(page, main_text.Ratios()) == ["Head", "Long text, with things. And more of it."]
