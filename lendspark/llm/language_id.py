@@ -2,14 +2,15 @@
 
 Method: language-bitmask n-gram filters. The n-grams usual in a language are entered in a
 Bloom filter. The filters of all languages are one table, sliced by bit: a slot holds a
-bitmask of languages, and the masks at the slots of an n-gram, ANDed, are the languages
+bitmask of languages, in as many words as they need, and the masks at the slots of an n-gram, ANDed, are the languages
 that may contain it. A text is decided by the number of its n-grams per language, less
 the hits expected by chance from how full a language's filter is.
 
 An n-gram is usual if it occurs in a given share of the documents learned from. These are
 a sample of bounded expected size per language, drawn by hash; the number of usual
 n-grams is then bounded by the n-grams of a document over that share, whatever the size
-of the corpus, and so is the table that is sent to the tasks. Texts are read whole.
+of the corpus. The table that is sent to the tasks grows with the number of languages
+alone. Texts are read whole.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0. If no
 n-gram is known, or for ties, the language with more documents wins. Rows without a
@@ -36,18 +37,20 @@ CHUNK_CHARS = 1 << 19
 @dataclass(frozen=True)
 class Learning:
     """Settings. ``documents`` bounds the sample per language; ``share`` of them must have
-    an n-gram for it to be usual. At most 64 languages, those with most documents."""
+    an n-gram for it to be usual, and two at least unless the language has less than
+    ``few``."""
 
     size: int = 4
     documents: int = 20_000
     share: float = 0.005
+    few: int = 20
     slots_per_gram: int = 16
     seed: int = 42
 
 
 @dataclass(frozen=True)
 class Filters:
-    """``table[slot]`` is a bitmask; ``by_chance`` is each language's rate of false hits."""
+    """``table[slot]`` is a bitmask of one or more words; ``by_chance`` is each language's rate of false hits."""
 
     languages: list[str]
     table: np.ndarray
@@ -112,6 +115,12 @@ def slots(hashes: np.ndarray, table_size: int) -> tuple[np.ndarray, np.ndarray]:
     return (hashes & last).astype(np.int64), ((hashes >> U64(32)) & last).astype(np.int64)
 
 
+def bits(masks: np.ndarray, language: int) -> np.ndarray:
+    """The bit of a language, by its number, in each mask."""
+    word, place = divmod(language, 8 * masks.itemsize)
+    return (masks[:, word] >> masks.dtype.type(place)) & masks.dtype.type(1)
+
+
 def held_out(doc_id: str) -> Column:
     """Whether a document is kept from learning."""
     remainder = F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4))
@@ -123,11 +132,11 @@ def learn(df: DataFrame, text: str, language: str, doc_id: str, settings: Learni
     rows = df.where(F.col(language).isNotNull() & F.col(doc_id).isNotNull()).select(
         F.col(language).alias("lang"), F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("text")
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
     known = [(row["lang"], row["n"]) for row in counts.collect()]
     languages = [name for name, _ in known]
     if not languages:
-        return Filters([], np.zeros(1, np.uint8), np.zeros(0), settings.size)
+        return Filters([], np.zeros((1, 1), np.uint8), np.zeros(0), settings.size)
     share = F.create_map(*[F.lit(x) for name, n in known for x in (name, settings.documents / n)])
     draw = F.pmod(F.xxhash64(F.lit(settings.seed), "id"), F.lit(1 << 20)) / F.lit(1 << 20)
     number = {name: k for k, name in enumerate(languages)}
@@ -154,9 +163,11 @@ def learn(df: DataFrame, text: str, language: str, doc_id: str, settings: Learni
                 names=["lang", "gram", "n"],
             )
 
-    sample = rows.where(F.col("lang").isin(languages) & (draw < share[F.col("lang")]))
-    least = {k: max(2, settings.share * min(n, settings.documents)) for k, (_, n) in enumerate(known)}
-    enough = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+    sample = rows.where(draw < share[F.col("lang")])
+    least = [
+        max(1.0 if n < settings.few else 2.0, settings.share * min(n, settings.documents)) for _, n in known
+    ]
+    enough = F.lit(least)
     usual = (
         sample.select("lang", "text")
         .mapInArrow(run, "lang INT, gram BIGINT, n BIGINT")
@@ -169,11 +180,15 @@ def learn(df: DataFrame, text: str, language: str, doc_id: str, settings: Learni
     lang, gram = usual["lang"].to_numpy(), usual["gram"].to_numpy().view(U64)
     most = int(np.bincount(lang, minlength=1).max()) if len(lang) else 1
     size_of_table = 1 << max(12, (settings.slots_per_gram * most - 1).bit_length())
-    table = np.zeros(size_of_table, np.uint8 if len(languages) <= 8 else U64)
+    kind = np.uint8 if len(languages) <= 8 else U64
+    table = np.zeros((size_of_table, -(-len(languages) // 64)), kind)
+    order = np.argsort(lang, kind="stable")
+    ends = np.searchsorted(lang[order], np.arange(len(languages) + 1))
     for k in range(len(languages)):
-        for slot in slots(gram[lang == k], size_of_table):
-            table[slot] |= table.dtype.type(1 << k)
-    full = np.array([np.count_nonzero(table & table.dtype.type(1 << k)) for k in range(len(languages))])
+        word, place = divmod(k, 8 * table.itemsize)
+        for slot in slots(gram[order[ends[k] : ends[k + 1]]], size_of_table):
+            table[slot, word] |= table.dtype.type(1 << place)
+    full = np.array([np.count_nonzero(bits(table, k)) for k in range(len(languages))])
     return Filters(languages, table, (full / size_of_table) ** 2, settings.size)
 
 
@@ -188,7 +203,7 @@ def decide(texts: list[str | None], filters: Filters) -> tuple[list[str], list[f
         total = np.diff(begins)
         share = np.zeros((len(chunk), max(1, len(filters.languages))))
         for k, chance in enumerate(filters.by_chance):
-            sums = np.concatenate([[0], np.cumsum((masks >> masks.dtype.type(k)) & masks.dtype.type(1), dtype=np.int64)])
+            sums = np.concatenate([[0], np.cumsum(bits(masks, k), dtype=np.int64)])
             hits = np.diff(sums[begins])
             share[:, k] = (hits - total * chance) / np.maximum(total * (1 - chance), 1e-9)
         best = share.argmax(axis=1)

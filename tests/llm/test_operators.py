@@ -369,6 +369,26 @@ def test_texts_without_letters_have_no_language(spark):
     assert found[5] == found[6] == ("und", 0.0)
 
 
+def test_no_language_is_too_many_or_too_rare(spark):
+    random.seed(6)
+    rows = []
+    for k in range(140):
+        words = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(30)]
+        # Ids of which one is learned from in the last language, and more in the first ones.
+        ids = range(1000 * k, 1000 * k + (8 if k < 70 else 5))
+        texts = {i: " ".join(random.sample(words, 25)) for i in ids if k < 139 or zlib.crc32(str(i).encode()) % 4 == 2}
+        if k == 139:
+            one = next(i for i in range(1000 * k + 50, 1000 * k + 100) if zlib.crc32(str(i).encode()) % 4 != 2)
+            texts[one] = " ".join(words)
+        rows += [(i, text, f"l{k}") for i, text in texts.items()]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    right = {i: lang for i, _, lang in rows}
+    learned = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(df).collect()}
+    assert len(learned) == 140
+    assert {i for i in found if found[i] != right[i]} == set()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{x:1}</style></head><body>
 <nav><ul><li><a href=/>Home</a></li></ul></nav><div id="cookie-notice"><p>We use cookies, always.</p></div>
 <div class=ad>Buy &amp; be happy.</div><article><h1>Title</h1><p>First &lt;b&gt; <b>bold</b>
