@@ -13,10 +13,13 @@ from lendspark.llm.queries import LANGUAGE_WEIGHTS, source_levels, table, tokeni
 # Every document at most once; four fifths of the tokens that are left.
 MIX = Mix(weights=LANGUAGE_WEIGHTS, share=0.8, max_epochs=1)
 
+# A line of so many documents of a host is removed, however large the host is.
+LIMITS = line_quality.Limits(most_documents=1000)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, unchanged."""
-    return line_quality.keep_good(docs)
+    """What is left of the documents that pass the rules."""
+    return line_quality.keep_good(docs, limits=LIMITS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,15 @@
 """Quality rules: counts within each document, and lines that many documents share.
 
 Method: cross-document line frequency. Normalised lines are hashed, and the distinct
-documents with a line are counted per host. Lines above the host's limit count as
-removed, and a document of which too little remains is rejected. Everything is made of
-column functions, aggregates and joins.
+documents with a line are counted per host. Lines above the host's limit are removed, and
+a document of which too little remains is rejected. Verdicts give counts and leave the
+text as it is; ``keep_good`` gives what is left of it. Everything is made of column
+functions, aggregates and joins.
 
 Defined cases: a NULL text is an empty one and fails the base rules. Rows without a host
 are one host of their own. Documents of a host that have the same text count once, and
-get the same verdict. Other columns of the input are neither read nor changed.
+get the same verdict. Other columns of the input are neither read nor changed. Empty lines
+are never frequent.
 """
 
 from __future__ import annotations
@@ -30,14 +32,16 @@ class Limits:
     """Bounds of the rules.
 
     A line is removed if more than ``line_share`` of the host's distinct documents, and
-    more than ``line_documents`` of them, have it. A document is depleted if less than
-    ``left_share`` of the words in its distinct lines are left.
+    more than ``line_documents`` of them, have it; and if more than ``most_documents`` have
+    it, whatever their share. A document is depleted if less than ``left_share`` of the words
+    in its distinct lines are left.
     """
 
     min_words: int = 20
     repeat_percent: int = 30
     line_documents: int = 20
     line_share: float = 0.02
+    most_documents: int | None = None
     left_share: float = 0.3
 
 
@@ -109,15 +113,17 @@ def base_counts(df: DataFrame, text: str) -> DataFrame:
     )
 
 
-def line_hashes(df: DataFrame, text: str, host: str) -> DataFrame:
-    """One row per host, text and distinct normalised line, with the words of the line.
-
-    Normalised: lower case, blanks squeezed, digits made equal.
-    """
-    content = F.coalesce(F.col(text), F.lit(""))
+def _normal_lines(content: Column) -> Column:
+    """The lines of a text in lower case, blanks squeezed, digits made equal."""
     digits = F.translate(F.lower(content), "123456789", "0" * 9)
     normal = F.split(F.regexp_replace(digits, INNER_BLANKS, " "), "\n")
-    lines = F.array_remove(F.transform(normal, lambda x: F.trim(x)), "")
+    return F.transform(normal, lambda x: F.trim(x))
+
+
+def line_hashes(df: DataFrame, text: str, host: str) -> DataFrame:
+    """One row per host, text and distinct normalised line, with the words of the line."""
+    content = F.coalesce(F.col(text), F.lit(""))
+    lines = F.array_remove(_normal_lines(content), "")
     gaps = lambda x: F.length(x) - F.length(without(x, " "))
     line = lambda x: F.struct(F.xxhash64(x).alias("line"), (gaps(x) + 1).alias("w"))
     k1, k2 = content_key(content)
@@ -138,8 +144,10 @@ def frequent_lines(lines: DataFrame, limits: Limits) -> DataFrame:
     sizes = lines.select(*KEY).distinct().groupBy("_host").agg(F.count("*").alias("_texts"))
     counts = lines.groupBy("_host", "_hash").agg(F.count("*").alias("_documents"))
     limit = F.greatest(F.lit(limits.line_documents), F.col("_texts") * limits.line_share)
+    if limits.most_documents is not None:
+        limit = F.least(limit, F.lit(limits.most_documents))
     return (
-        counts.where(F.col("_documents") > limits.line_documents)
+        counts.where(F.col("_documents") > min(limits.line_documents, limits.most_documents or limits.line_documents))
         .join(sizes, "_host")
         .where(F.col("_documents") > limit)
         .select("_host", "_hash")
@@ -147,27 +155,25 @@ def frequent_lines(lines: DataFrame, limits: Limits) -> DataFrame:
 
 
 def left_words(df: DataFrame, text: str, host: str, limits: Limits) -> DataFrame:
-    """Per host and text that has a frequent line: words in distinct lines, and those left."""
+    """Per host and text that has a frequent line: words in distinct lines, those left, and
+    the hashes of its frequent lines."""
     lines = stored(line_hashes(df, text, host), "lines")
     marked = frequent_lines(lines, limits).withColumn("_often", F.lit(True))
     words_left = F.sum(F.when(F.col("_often").isNull(), F.col("_w")).otherwise(0))
     return (
         lines.join(marked, ["_host", "_hash"], "left")
         .groupBy(*KEY)
-        .agg(F.sum("_w").alias("_all"), words_left.alias("_left"))
+        .agg(
+            F.sum("_w").alias("_all"),
+            words_left.alias("_left"),
+            F.collect_list(F.when(F.col("_often"), F.col("_hash"))).alias("_gone"),
+        )
         .where("_left < _all")
     )
 
 
-def with_verdict(
-    df: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()
-) -> DataFrame:
-    """``df`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
-    ``n_repeat_words``, ``base_failed``, ``words_left`` and ``kept``.
-
-    Columns of these names in ``df`` are replaced. ``words_left`` counts distinct lines;
-    it is NULL where no line was removed.
-    """
+def _judged(df: DataFrame, text: str, host: str, limits: Limits) -> DataFrame:
+    """``df`` with the columns of ``with_verdict``, and ``_gone``."""
     k1, k2 = content_key(F.coalesce(F.col(text), F.lit("")))
     keyed = df.withColumns(
         {"_host": F.coalesce(F.col(host), F.lit("")), "_k1": k1, "_k2": k2}
@@ -192,12 +198,38 @@ def with_verdict(
     )
 
 
+def with_verdict(
+    df: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()
+) -> DataFrame:
+    """``df`` with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
+    ``n_repeat_words``, ``base_failed``, ``words_left`` and ``kept``.
+
+    Columns of these names in ``df`` are replaced. ``words_left`` counts distinct lines;
+    it is NULL where no line was removed.
+    """
+    return _judged(df, text, host, limits).drop("_gone")
+
+
+def _without_frequent(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the lines of ``_gone`` taken out of the texts that have any."""
+    hashes = F.transform(_normal_lines(F.col(text)), lambda x: F.xxhash64(x))
+    stays = lambda line, i: ~F.array_contains("_gone", F.get("_line_hashes", i))
+    rest = F.array_join(F.filter(F.split(text, "\n"), stays), "\n")
+    some = F.col("_gone").isNotNull()
+    return (
+        df.withColumn("_line_hashes", F.when(some, hashes))
+        .withColumn(text, F.when(some, rest).otherwise(F.col(text)))
+        .drop("_line_hashes", "_gone")
+    )
+
+
 def keep_good(df: DataFrame, **settings) -> DataFrame:
-    """The rows of ``df`` that pass, with the columns of ``df``."""
+    """The rows of ``df`` that pass, with the columns of ``df``; frequent lines are removed
+    from the text."""
     inputs = {name: F.col(name).alias(f"_in_{name}") for name in df.columns}
     text, host = settings.pop("text", "text"), settings.pop("host", "source")
     renamed = df.select(*inputs.values())
-    judged = with_verdict(renamed, f"_in_{text}", f"_in_{host}", **settings)
-    return judged.where("kept").select(
+    judged = _judged(renamed, f"_in_{text}", f"_in_{host}", settings.pop("limits", Limits()), **settings)
+    return _without_frequent(judged.where("kept"), f"_in_{text}").select(
         *[F.col(f"_in_{name}").alias(name) for name in df.columns]
     )

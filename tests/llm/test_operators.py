@@ -496,6 +496,21 @@ def test_lines_of_many_documents_deplete_those_made_of_them(spark):
     assert all(kept[i] for i in range(100)) and not any(kept[1000 + i] for i in range(5))
 
 
+def test_frequent_lines_are_taken_out_of_what_is_kept(spark):
+    random.seed(5)
+    own = [" ".join("".join(random.choices("abcdefghij", k=8)) for _ in range(60)) for _ in range(50)]
+    rows = [(i, f"Menu  of {i} pages\n{own[i]}\n\n menu of {9 - i % 10} Pages\nEnd of {own[i][:9]}") for i in range(40)]
+    rows += [(i, own[i]) for i in range(40, 50)]
+    wanted = {i: f"{own[i]}\n\nEnd of {own[i][:9]}" if i < 40 else own[i] for i in range(50)}
+    found = {r["doc_id"]: r["text"] for r in line_quality.keep_good(documents(spark, rows)).collect()}
+    assert found == wanted
+    # A bound that does not grow with the host.
+    bounded = line_quality.Limits(line_share=0.9, most_documents=30)
+    free = line_quality.Limits(line_share=0.9)
+    size = lambda limits: sum(len(r["text"]) for r in line_quality.keep_good(documents(spark, rows), limits=limits).collect())
+    assert size(bounded) < size(free)
+
+
 def test_copies_do_not_make_a_line_frequent(spark):
     text = " ".join(f"w{k}" for k in range(50))
     rows = line_quality.with_verdict(documents(spark, [(i, text) for i in range(200)])).collect()
