@@ -10,8 +10,8 @@ from lendspark.llm.common import stored
 from lendspark.llm.mixing import Mix, mix_sources
 from lendspark.llm.queries import LANGUAGE_WEIGHTS, source_levels, table, tokenizer_path
 
-# Every document at most once; four fifths of the tokens that are left.
-MIX = Mix(weights=LANGUAGE_WEIGHTS, share=0.8, max_epochs=1)
+# As many tokens as are left; languages that lack some repeat documents in seeded epochs.
+MIX = Mix(weights=LANGUAGE_WEIGHTS)
 
 # A line of so many documents of a host is removed, however large the host is.
 LIMITS = line_quality.Limits(most_documents=1000)

@@ -527,3 +527,35 @@ def test_pipeline_against_its_stages_done_by_hand(spark):
     sets = {i: set(zip(w, w[1:])) for i in left for w in [docs[i].lower().split()]}
     assert len(set(brute_components(sets).values())) == len(left)
     assert packed.where("length > 2048").count() == 0
+
+
+def test_every_stage_of_the_pipeline_keeps_exactly_what_it_should(spark):
+    stages, ids, rows = dict(corpus_pipeline.STAGES), {}, {}
+    df = queries.table(spark, SMALL, "documents")
+    for name in ("quality_rules", "exact_dedup", "near_dedup", "mixing"):
+        df = stages[name](spark, df, SMALL).localCheckpoint()
+        rows[name] = df.collect()
+        ids[name] = sorted(r["doc_id"] for r in rows[name])
+    good = queries.QUERIES["op8_quality_rules"](spark, SMALL).where("kept").collect()
+    assert ids["quality_rules"] == sorted(r["doc_id"] for r in good)
+    last = {r["text"]: r["doc_id"] for r in sorted(rows["quality_rules"], key=lambda r: r["doc_id"])}
+    assert ids["exact_dedup"] == sorted(last.values())
+    words = {r["doc_id"]: r["text"].lower().split() for r in rows["exact_dedup"]}
+    groups = brute_components({i: set(zip(w, w[1:])) for i, w in words.items()})
+    assert ids["near_dedup"] == sorted(set(groups.values()))
+    # Budgets give up no token, and each leaf meets its own but for the document at its end.
+    sizes = {i: len(words[i]) for i in ids["near_dedup"]}
+    held = defaultdict(list)
+    for r in rows["near_dedup"]:
+        held[r["lang"], r["source"]].append(sizes[r["doc_id"]])
+    supply = [("src", *leaf, sum(n)) for leaf, n in held.items()]
+    leaves = spark.createDataFrame(supply, "_level0 STRING, _level1 STRING, _level2 STRING, tokens BIGINT")
+    used = Counter()
+    for r in rows["mixing"]:
+        used[r["lang"], r["source"]] += sizes[r["doc_id"]]
+    budgets = leaf_budgets(leaves, 3, corpus_pipeline.MIX).collect()
+    assert sum(r["budget"] for r in budgets) == pytest.approx(sum(sizes.values()))
+    for r in budgets:
+        leaf = r["_level1"], r["_level2"]
+        assert r["budget"] - max(held[leaf]) < used[leaf] + 1e-6 and used[leaf] <= r["budget"] + 1e-6
+    assert set(ids["mixing"]) <= set(ids["near_dedup"])
