@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.llm import chosen_path, grace, language_id, line_quality, main_text, packing, repeats, token_counts, warc
+from lendspark.llm import (
+    chosen_path,
+    grace,
+    language_id,
+    line_quality,
+    main_text,
+    merkle,
+    packing,
+    repeats,
+    token_archive,
+    token_counts,
+    warc,
+    whitening,
+)
 from lendspark.llm.mixing import Mix, mix_sources
 
 # The vocabulary files of the machine, as their description names them.
@@ -201,3 +214,99 @@ def op3_token_counts(spark, sf_dir):
 def op7_suffix_dedup(spark, sf_dir):
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
     return cut.drop("kept")
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    one_more = (F.col("n_chars").cast("decimal(38,0)") + 1).cast("decimal(38,0)")
+    tampered = merkle.leaf_digest([one_more if name == "n_chars" else F.col(name) for name in fields])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    documents = table(spark, sf_dir, "documents")
+    rows = merkle.manifest(documents, fields, carry={"tampered": F.when(chosen, tampered)})
+    checked = merkle.verified(rows.withColumn("claimed", F.coalesce("tampered", "leaf")), "claimed")
+    text = lambda name: F.lower(F.hex(name)).alias(name)
+    return checked.select(
+        "doc_id",
+        *[text(name) for name in ("leaf", "subroot", "root")],
+        F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"),
+        text("folded_root"),
+        "verified",
+    )
+
+
+ORACLES["op12_merkle_manifest"] = """
+WITH RECURSIVE d AS (
+  SELECT *, [
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'),
+    coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')] AS a,
+    coalesce(strlen(text) || ':' || text, '-') AS z,
+    xor(list_reduce(
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda r, x: list_reduce(range(8),
+        lambda s, k: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, xor(r, x)),
+      4294967295), 4294967295) % 7 = 0 AS tampered
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang,
+    sha256(array_to_string(a, '') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || z) AS leaf,
+    sha256(array_to_string(a, '') || coalesce(strlen(CAST(n_chars + CAST(tampered AS INT) AS VARCHAR))
+      || ':' || (n_chars + CAST(tampered AS INT)), '-') || z) AS claimed,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM d
+), tree(lang, level, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY lang, level, i // 2, n
+), tops AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), crown(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM crown WHERE n > 1 GROUP BY level, i // 2, n
+), beside AS (
+  SELECT doc_id, 0 AS part, t.level, t.h FROM leaves l JOIN tree t
+    ON t.lang IS NOT DISTINCT FROM l.lang AND t.i = xor(l.i >> t.level, 1)
+  UNION ALL
+  SELECT doc_id, 1, c.level, c.h FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.lang
+    JOIN crown c ON c.i = xor(t.i >> c.level, 1)
+), proofs AS (
+  SELECT doc_id, string_agg(h, '' ORDER BY part, level) AS proof FROM beside GROUP BY doc_id
+), up(doc_id, lang, level, i, n, h) AS (
+  SELECT doc_id, lang, 0, i, n, claimed FROM leaves
+  UNION ALL
+  SELECT doc_id, u.lang, u.level + 1, u.i // 2, (u.n + 1) // 2,
+    sha256(CASE WHEN u.i % 2 = 1 THEN coalesce(b.h, '') || u.h ELSE u.h || coalesce(b.h, '') END)
+  FROM up u LEFT JOIN (SELECT doc_id, level, h FROM beside WHERE part = 0) b USING (doc_id, level)
+  WHERE u.n > 1
+), over_top(doc_id, level, i, n, h) AS (
+  SELECT doc_id, 0, t.i, t.n, u.h FROM up u JOIN tops t ON t.lang IS NOT DISTINCT FROM u.lang WHERE u.n = 1
+  UNION ALL
+  SELECT doc_id, o.level + 1, o.i // 2, (o.n + 1) // 2,
+    sha256(CASE WHEN o.i % 2 = 1 THEN coalesce(b.h, '') || o.h ELSE o.h || coalesce(b.h, '') END)
+  FROM over_top o LEFT JOIN (SELECT doc_id, level, h FROM beside WHERE part = 1) b USING (doc_id, level)
+  WHERE o.n > 1
+)
+SELECT l.doc_id, leaf, t.h AS subroot, c.h AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+  o.h AS folded_root, o.h = c.h AS verified
+FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.lang
+JOIN (SELECT h FROM crown WHERE n = 1) c ON TRUE
+LEFT JOIN proofs USING (doc_id)
+JOIN (SELECT doc_id, h FROM over_top WHERE n = 1) o USING (doc_id)
+"""
+
+
+@query
+def op13_token_archive(spark, sf_dir):
+    settings = token_archive.Archive(tokenizer_path("byte_bpe_50k.json"))
+    return token_archive.round_trip(table(spark, sf_dir, "documents"), settings, keep_ids=False)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 from functools import lru_cache
 from unicodedata import is_normalized
@@ -18,6 +19,8 @@ import regex
 REMEMBERED = 1_000_000
 # What is outside may be treated differently by two engines' character tables.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
+# A blank between two such characters starts a piece in byte-level cutting.
+BETWEEN_PIECES = re.compile("(?<=[!-~\xa1-\xac\xae-\u024f]) (?=[!-~\xa1-\xac\xae-\u024f])")
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -48,14 +51,26 @@ class Tokenizer:
 
         self.file = File.from_file(path)
         self.file.encode_special_tokens = special_as_text
-        self.pattern = self._word_pattern(path)
+        with open(path, encoding="utf-8") as file:
+            layout = json.load(file)
+        self.pattern = self._word_pattern(layout)
+        self.stretches = self._cut_at_blanks(layout)
         self.merge = self.file.model.tokenize
         self.known: dict[str, bytes] = {}
 
     @staticmethod
-    def _word_pattern(path: str):
-        with open(path, encoding="utf-8") as file:
-            layout = json.load(file)
+    def _cut_at_blanks(layout: dict) -> bool:
+        cutting = layout["pre_tokenizer"] or {}
+        return (
+            not layout["normalizer"]
+            and cutting.get("type") == "ByteLevel"
+            and not cutting["add_prefix_space"]
+            and cutting["use_regex"]
+            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in layout["added_tokens"])
+        )
+
+    @staticmethod
+    def _word_pattern(layout: dict):
         folding = [step["type"] for step in (layout["normalizer"] or {}).get("normalizers", [])]
         cutting = (layout["pre_tokenizer"] or {}).get("pretokenizers", [])
         if folding != ["NFC", "Replace", "Lowercase"] or len(cutting) != 2:
@@ -87,7 +102,20 @@ class Tokenizer:
             known = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return known
 
+    def _by_stretches(self, texts: list[str]) -> list[bytes]:
+        """Texts as stretches, of which all but the first of a text begin with a blank."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known, cut = self.known, [BETWEEN_PIECES.split(text) for text in texts]
+        missing = list({x for first, *rest in cut for x in rest}.difference(known))
+        known.update(zip(missing, self._packed([" " + x for x in missing])))
+        firsts = self._packed([first for first, *_ in cut])
+        lookup = known.__getitem__
+        return [first + b"".join(map(lookup, rest)) for first, (_, *rest) in zip(firsts, cut)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.stretches:
+            return self._by_stretches(texts)
         found: list[bytes] = [b""] * len(texts)
         whole = []
         for i, text in enumerate(texts):
