@@ -17,6 +17,9 @@ import regex
 
 # Words remembered per worker; the memory is emptied when it is full.
 REMEMBERED = 1_000_000
+# Stretches that are encoded in one go.
+TOGETHER = 4096
+WORD_AND_MARKS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,;:!?)\"]+)")
 # What is outside may be treated differently by two engines' character tables.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
 # A blank between two such characters starts a piece in byte-level cutting.
@@ -55,8 +58,10 @@ class Tokenizer:
             layout = json.load(file)
         self.pattern = self._word_pattern(layout)
         self.stretches = self._cut_at_blanks(layout)
+        self.mark = next((t for t in layout["added_tokens"] if t["special"] and not t["normalized"]), None)
         self.merge = self.file.model.tokenize
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     @staticmethod
     def _cut_at_blanks(layout: dict) -> bool:
@@ -102,13 +107,38 @@ class Tokenizer:
             known = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return known
 
+    def _learn(self, stretches: list[str]) -> None:
+        """Remember stretches, encoded in one go with a special token between them."""
+        mark = self.mark["content"] if self.mark and not self.file.encode_special_tokens else None
+        if mark is None or any(mark in x for x in stretches):
+            self.known.update(zip(stretches, self._packed([" " + x for x in stretches])))
+            return
+        (packed,) = self._packed([mark.join([" " + x for x in stretches])])
+        ids = np.frombuffer(packed, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.mark["id"]), len(ids)).tolist()
+        begin = 0
+        for stretch, end in zip(stretches, ends, strict=True):
+            self.known[stretch] = packed[4 * begin : 4 * end]
+            begin = end + 1
+
     def _by_stretches(self, texts: list[str]) -> list[bytes]:
         """Texts as stretches, of which all but the first of a text begin with a blank."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.marks.clear()
         known, cut = self.known, [BETWEEN_PIECES.split(text) for text in texts]
-        missing = list({x for first, *rest in cut for x in rest}.difference(known))
-        known.update(zip(missing, self._packed([" " + x for x in missing])))
+        missing = {x for first, *rest in cut for x in rest}.difference(known)
+        # A word with marks at its end is the word and the marks.
+        marked = [m.group(0, 1, 2) for m in map(WORD_AND_MARKS.fullmatch, missing) if m]
+        missing.difference_update([whole for whole, _, _ in marked])
+        missing.update(word for _, word, _ in marked if word not in known)
+        unknown = list(missing)
+        for at in range(0, len(unknown), TOGETHER):
+            self._learn(unknown[at : at + TOGETHER])
+        ends = {marks for _, _, marks in marked}.difference(self.marks)
+        self.marks.update(zip(ends, self._packed(list(ends))))
+        for whole, word, marks in marked:
+            known[whole] = known[word] + self.marks[marks]
         firsts = self._packed([first for first, *_ in cut])
         lookup = known.__getitem__
         return [first + b"".join(map(lookup, rest)) for first, (_, *rest) in zip(firsts, cut)]
