@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendspark.constants import LOAN_COLUMNS
+from lendspark.sources import split_csv
 
 
 # Where Spark puts a record that does not have the fields of the header.
@@ -45,14 +46,20 @@ def read_raw_csv(
     """The wanted text columns of a headered CSV export, in the given order.
 
     An empty field is NULL; undecodable bytes become the replacement character. Quoted
-    fields may hold line breaks, so a task reads whole files. With ``multi_line`` off
-    files are split between tasks, and a record that is not complete on its line fails
-    the read.
+    fields may hold line breaks, and files are split between tasks all the same, see
+    :mod:`lendspark.sources.split_csv`. With ``multi_line`` off no pass looks for such
+    breaks, and a record that is not complete on its line fails the read.
     """
     columns = list(columns)
-    options = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+    options = {"header": True, **split_csv.OPTIONS}
     if multi_line:
-        raw = spark.read.csv(path, multiLine=True, **options)
+        records = split_csv.whole_records(spark, path)
+        if records is None:
+            raw = spark.read.csv(path, **options)
+        else:
+            names = spark.read.csv(path, multiLine=True, **options).columns
+            fields = split_csv.parsed(records, ["STRING"] * len(names))
+            raw = records.where("NOT head").select(fields.alias("r")).select("r.*").toDF(*names)
         return require_columns(raw, columns).select(*columns)
     names = spark.read.csv(path, **options).columns
     fields = [T.StructField(name, T.StringType()) for name in [*names, BROKEN]]
@@ -73,19 +80,33 @@ def load_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    loaded = spark.read.csv(
-        path,
-        schema=schema,
-        header=True,
-        nullValue="",
-        escape='"',
-        multiLine=True,
-        enforceSchema=False,
-        mode="FAILFAST",
-    )
+    options = {"nullValue": "", "mode": "FAILFAST"}
+    records = split_csv.whole_records(spark, path)
+    if records is None:
+        loaded = spark.read.csv(
+            path, schema=schema, header=True, enforceSchema=False, **split_csv.OPTIONS, **options
+        )
+    else:
+        loaded = _typed_records(records, schema, options)
     return loaded.where(_asks_for(loaded.columns))
 
 
+def _typed_records(records: DataFrame, schema: T.StructType, options: dict) -> DataFrame:
+    """The fields of records under ``schema``; a header of other names fails the read."""
+    names, count = schema.fieldNames(), len(schema)
+    # A field more than the schema has, so that a longer header is seen.
+    header = split_csv.parsed(records, ["STRING"] * (count + 1), nullValue="")
+    agree = F.array(*[F.lower(F.btrim(header[f"c{k}"])) for k in range(count)]) == F.array(
+        *[F.lit(name.lower()) for name in names]
+    )
+    agree = F.coalesce(agree, F.lit(False)) & header[f"c{count}"].isNull()
+    message = F.concat(F.lit("The header is not that of the schema: "), F.col("record"))
+    wrong = F.raise_error(message).cast("boolean")
+    rows = records.where(F.when(~F.col("head"), F.lit(True)).when(agree, F.lit(False)).otherwise(wrong))
+    fields = split_csv.parsed(rows, [f.dataType.simpleString() for f in schema], **options)
+    return rows.select(fields.alias("r")).select("r.*").toDF(*names)
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
