@@ -1,15 +1,22 @@
-"""Column profiles of any table. Each reads the table once."""
+"""Column profiles of any table.
+
+Each reads the table once, but for :func:`numeric_summary`, which looks again for exact
+percentiles.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendspark.constants import PERCENTILES, Buckets
 from lendspark.functions.buckets import bucket
 from lendspark.functions.measures import percent, row_count
+from lendspark.operators import selection
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -71,11 +78,6 @@ def distribution(df: DataFrame, buckets: Mapping[str, Buckets]) -> DataFrame:
     return with_share(counts, ["feature"])
 
 
-# Partial results are merged in this many places before they are merged in one.
-MERGE_GROUPS = 64
-SKETCH_ACCURACY = 10_000
-
-
 def numeric_summary(
     df: DataFrame,
     columns: Sequence[str],
@@ -86,127 +88,73 @@ def numeric_summary(
     ``percentiles`` maps output names to fractions written as decimal text. The
     value taken is the first one whose rank reaches ``ceil(fraction * count)``.
 
-    One aggregate per group of partitions gives everything that can be merged, and a
-    sketch of each percentile. The percentile of the whole lies between the least and the
-    greatest of those of the groups, so a second pass counts what lies below, and groups
-    only the values in between.
+    One pass gives everything that can be merged, and a sketch of each column; a second
+    one counts about the percentiles that the sketch suggests, and a third sorts the few
+    values between. Very large tables take two more passes for each narrowing, see
+    :mod:`lendspark.operators.selection`. The passes run when this is called.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
-    fractions = [float(text) for text in percentiles.values()]
-    slack = 2 / SKETCH_ACCURACY
-    bounds = [max(0.0, f - slack) for f in fractions] + [min(1.0, f + slack) for f in fractions]
+    fractions = {name: Decimal(text) for name, text in percentiles.items()}
+    suggested = [rank for f in fractions.values() for rank in selection.around(float(f))]
 
     def partial(name: str) -> Column:
         value = F.col(name)
+        real = F.when(~F.isnan(value), value)
         return F.struct(
             row_count().alias("rows"),
             F.count(value).alias("n"),
+            F.count(real).alias("real"),
             F.min(value).alias("least"),
             F.max(value).alias("most"),
-            F.avg(value).alias("mean"),
-            F.var_pop(value).alias("variance"),
-            F.percentile_approx(value, bounds, SKETCH_ACCURACY).alias("bounds"),
+            F.struct(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("variance")).alias("moments"),
+            selection.sketch(real).alias("sketch"),
         ).alias(name)
 
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-    grouped = numbers.groupBy(group.alias("_group")).agg(*[partial(c) for c in numbers.columns])
+    grouped = numbers.groupBy(selection.merge_group().alias("_group")).agg(*[partial(c) for c in numbers.columns])
     parts = grouped.select(F.posexplode(F.array(*numbers.columns)).alias("position", "part"))
-    share = F.col("part.n") / F.col("_n")
-    whole = Window.partitionBy("position")
-    mean = F.sum(F.col("part.mean") * share)
-    shift = F.col("part.mean") - F.col("_mean")
-    at = lambda k: F.get("part.bounds", k)
-    last = len(fractions)
-    basics = (
-        parts.withColumn("_n", F.nullif(F.sum("part.n").over(whole), F.lit(0)))
-        .withColumn("_mean", F.sum(F.col("part.mean") * share).over(whole))
-        .groupBy("position")
-        .agg(
-            F.sum("part.n").alias("non_null_count"),
-            (F.sum("part.rows") - F.sum("part.n")).alias("null_count"),
-            F.min("part.least").alias("min_value"),
-            F.max("part.most").alias("max_value"),
-            mean.alias("avg_value"),
-            F.sqrt(F.sum((F.col("part.variance") + shift * shift) * share)).alias("stddev_value"),
-            F.array(
-                *[
-                    F.struct(F.min(at(k)).alias("low"), F.max(at(last + k)).alias("high"))
-                    for k in range(last)
-                ]
-            ).alias("brackets"),
-        )
-    )
-
-    # One row with the brackets of all columns goes to every task.
-    brackets = basics.groupBy().agg(
-        F.map_from_entries(F.collect_list(F.struct("position", "brackets"))).alias("brackets")
-    )
-    looked = numbers.crossJoin(F.broadcast(brackets))
-
-    def bracket(k: int, p: int) -> Column:
-        return F.get(F.col("brackets")[k], p)
-
-    pairs = [(k, p) for k in range(len(columns)) for p in range(last)]
-    below = looked.agg(
-        *[F.count_if(F.col(f"c{k}") < bracket(k, p)["low"]).alias(f"{k}_{p}") for k, p in pairs]
-    ).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(k).alias("position"), F.lit(p).alias("p"), F.col(f"{k}_{p}").alias("below")
-                    )
-                    for k, p in pairs
-                ]
-            )
-        )
+    whole = parts.groupBy("position").agg(
+        *[F.sum(f"part.{name}").alias(name) for name in ("rows", "n", "real")],
+        F.min("part.least").alias("least"),
+        F.max("part.most").alias("most"),
+        F.collect_list("part.moments").alias("moments"),
+        F.kll_merge_agg_double("part.sketch").alias("sketch"),
     )
-
-    def inside(k: int, p: int) -> Column:
-        value, limits = F.col(f"c{k}"), bracket(k, p)
-        entry = F.struct(F.lit(k).alias("position"), F.lit(p).alias("p"), value.alias("value"))
-        return F.when((value >= limits["low"]) & (value <= limits["high"]), entry)
-
-    counted = (
-        looked.select(F.inline(F.array_compact(F.array(*[inside(k, p) for k, p in pairs]))))
-        .groupBy("position", "p", "value")
-        .agg(row_count().alias("n"))
-    )
-    wanted = basics.select("position", F.posexplode(F.array(*map(F.lit, percentiles.values()))).alias("p", "f"), "non_null_count").select(
-        "position", "p", F.ceil(F.col("f").cast("decimal(9,8)") * F.col("non_null_count")).alias("rank")
-    )
-    upwards = Window.partitionBy("position", "p").orderBy("value")
-    picked = (
-        counted.join(F.broadcast(below), ["position", "p"])
-        .join(F.broadcast(wanted), ["position", "p"])
-        .withColumn("_reached", F.col("below") + F.sum("n").over(upwards))
-        .where("_reached >= rank")
-        .groupBy("position")
-        .agg(
-            *[
-                F.min(F.when(F.col("p") == p, F.col("value"))).alias(name)
-                for p, name in enumerate(percentiles)
-            ]
-        )
-    )
-
-    names = F.posexplode(F.array(*map(F.lit, columns))).alias("position", "feature")
-    return (
-        df.sparkSession.range(1)
-        .select(names)
-        .join(F.broadcast(basics.drop("brackets")), "position", "left")
-        .join(F.broadcast(picked), "position", "left")
-        .select(
-            "feature",
-            F.coalesce("non_null_count", F.lit(0)).alias("non_null_count"),
-            F.coalesce("null_count", F.lit(0)).alias("null_count"),
-            "min_value",
-            *percentiles,
-            "max_value",
-            "avg_value",
-            "stddev_value",
+    whole = whole.withColumn("suggested", selection.quantiles(F.col("sketch"), suggested)).drop("sketch")
+    basics = {row["position"]: row for row in whole.collect()}
+
+    searches = {
+        k: selection.percentile_searches(
+            f"c{k}",
+            row["real"],
+            row["n"] - row["real"],
+            {name: math.ceil(f * row["n"]) for name, f in fractions.items()},
         )
+        for k, row in basics.items()
+    }
+    looked = [
+        (search, tuple(basics[k]["suggested"][2 * p : 2 * p + 2]))
+        for k, of_column in searches.items()
+        for p, search in enumerate(of_column.values())
+        if not search.found and search.inside > selection.FEW
+    ]
+    if looked:
+        selection.narrow(numbers, *zip(*looked))
+    selection.select(numbers, [search for of_column in searches.values() for search in of_column.values()])
+
+    def summary(k: int, feature: str) -> tuple:
+        row = basics.get(k)
+        if row is None:
+            return feature, 0, 0, None, *[None] * len(fractions), None, None, None
+        mean, deviation = selection.combined_moments(row["moments"])
+        found = [searches[k][name].value for name in fractions]
+        return feature, row["n"], row["rows"] - row["n"], row["least"], *found, row["most"], mean, deviation
+
+    schema = ", ".join(
+        ["feature STRING, non_null_count BIGINT, null_count BIGINT, min_value DOUBLE"]
+        + [f"`{name}` DOUBLE" for name in fractions]
+        + ["max_value DOUBLE, avg_value DOUBLE, stddev_value DOUBLE"]
     )
+    return df.sparkSession.createDataFrame([summary(k, c) for k, c in enumerate(columns)], schema)
 
 
 def column_catalogue(df: DataFrame) -> DataFrame:
