@@ -8,7 +8,8 @@ functions, aggregates and joins.
 
 Defined cases: a NULL text is an empty one and fails the base rules. Rows without a host
 are one host of their own. Documents of a host that have the same text count once, and
-get the same verdict. Other columns of the input are neither read nor changed. Empty lines
+get the same verdict; that departs from counting documents one by one. Other columns of the
+input, whatever their names, are neither read nor changed. Empty lines
 are never frequent.
 """
 
@@ -166,7 +167,7 @@ def left_words(df: DataFrame, text: str, host: str, limits: Limits) -> DataFrame
         .agg(
             F.sum("_w").alias("_all"),
             words_left.alias("_left"),
-            F.collect_list(F.when(F.col("_often"), F.col("_hash"))).alias("_gone"),
+            F.sort_array(F.collect_list(F.when(F.col("_often"), F.col("_hash")))).alias("_gone"),
         )
         .where("_left < _all")
     )
@@ -198,6 +199,15 @@ def _judged(df: DataFrame, text: str, host: str, limits: Limits) -> DataFrame:
     )
 
 
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+VERDICT = [*COUNTS, "base_failed", "words_left", "kept"]
+
+
+def _renamed(df: DataFrame) -> DataFrame:
+    """``df`` with names that none of the columns made here has."""
+    return df.select(*[F.col(f"`{name}`").alias(f"_in_{name}") for name in df.columns])
+
+
 def with_verdict(
     df: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()
 ) -> DataFrame:
@@ -207,29 +217,47 @@ def with_verdict(
     Columns of these names in ``df`` are replaced. ``words_left`` counts distinct lines;
     it is NULL where no line was removed.
     """
-    return _judged(df, text, host, limits).drop("_gone")
+    judged = _judged(_renamed(df), f"_in_{text}", f"_in_{host}", limits)
+    inputs = [F.col(f"`_in_{name}`").alias(name) for name in df.columns if name not in VERDICT]
+    return judged.select(*inputs, *VERDICT)
+
+
+# Steps of a search in a sorted array of any size that an array may have.
+HALVES = [1 << k for k in range(30, -1, -1)]
+
+
+def _among(hashes: Column, wanted: Column) -> Column:
+    """Whether ``wanted`` is among the sorted ``hashes``, by halving."""
+    upto = F.aggregate(
+        F.array(*map(F.lit, HALVES)),
+        F.lit(0),
+        lambda at, step: F.when(
+            (step <= F.size(hashes) - at) & (F.get(hashes, at + step - 1) <= wanted), at + step
+        ).otherwise(at),
+    )
+    return F.coalesce(F.get(hashes, upto - 1) == wanted, F.lit(False))
 
 
 def _without_frequent(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with the lines of ``_gone`` taken out of the texts that have any."""
-    hashes = F.transform(_normal_lines(F.col(text)), lambda x: F.xxhash64(x))
-    stays = lambda line, i: ~F.array_contains("_gone", F.get("_line_hashes", i))
-    rest = F.array_join(F.filter(F.split(text, "\n"), stays), "\n")
-    some = F.col("_gone").isNotNull()
-    return (
-        df.withColumn("_line_hashes", F.when(some, hashes))
-        .withColumn(text, F.when(some, rest).otherwise(F.col(text)))
-        .drop("_line_hashes", "_gone")
+    """``df`` with the lines of ``_gone`` taken out of the texts that have any.
+
+    Every line is hashed once, and stands beside its hash while it is looked up.
+    """
+    lines = F.arrays_zip(
+        F.split(F.col(text), "\n").alias("line"), _normal_lines(F.col(text)).alias("normal")
     )
+    hashed = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["normal"]).alias("hash")))
+    stays = F.filter(hashed, lambda x: ~_among(F.col("_gone"), x["hash"]))
+    rest = F.array_join(F.transform(stays, lambda x: x["line"]), "\n")
+    return df.withColumn(text, F.when(F.col("_gone").isNotNull(), rest).otherwise(F.col(text))).drop("_gone")
 
 
-def keep_good(df: DataFrame, **settings) -> DataFrame:
+def keep_good(
+    df: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()
+) -> DataFrame:
     """The rows of ``df`` that pass, with the columns of ``df``; frequent lines are removed
     from the text."""
-    inputs = {name: F.col(name).alias(f"_in_{name}") for name in df.columns}
-    text, host = settings.pop("text", "text"), settings.pop("host", "source")
-    renamed = df.select(*inputs.values())
-    judged = _judged(renamed, f"_in_{text}", f"_in_{host}", settings.pop("limits", Limits()), **settings)
-    return _without_frequent(judged.where("kept"), f"_in_{text}").select(
-        *[F.col(f"_in_{name}").alias(name) for name in df.columns]
+    judged = _judged(_renamed(df), f"_in_{text}", f"_in_{host}", limits).where("kept")
+    return _without_frequent(judged, f"_in_{text}").select(
+        *[F.col(f"`_in_{name}`").alias(name) for name in df.columns]
     )

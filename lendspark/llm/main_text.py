@@ -8,11 +8,13 @@ the best path lies in an article or main element, what is outside of such is lef
 of the content belong to the same article, however short they are: its nearest article or
 main element, else the lowest element around all content paths.
 
-What is never main text by its element or role is left out while parsing. A class or id
-only makes a block element a candidate: all words of one of its names must be hints, and
-its path must fall below the threshold too. Headings and inline elements are never left
-out by a name. Pages are taken one by one where they are read, so no page meets another
-and nothing is shuffled.
+What is never main text by its element, role or a hidden state is left out while parsing,
+but for a header in an article or main element. A class or id leaves out a block element,
+whatever it scores, if all words of one of its names are hints; mere words of longer names
+say nothing, and headings and inline elements are never left out by a name. A main element
+stays inside of such a name. A form is left out unless the best path of the page lies in it.
+Where these rules leave nothing, the ratios alone decide. Pages are taken one by one where
+they are read, so no page meets another and nothing is shuffled.
 
 Defined cases: NULL and empty html give an empty text; a page without markup is one
 block. Unclosed elements end with their parent, and stray end tags are ignored. NULL
@@ -42,7 +44,7 @@ BLOCKS = set(
     " fieldset legend hr hgroup header footer nav aside form menu dialog search".split()
 )
 LEFT_OUT = set(
-    "head script style noscript template nav header footer aside form button select option"
+    "head script style noscript template nav header footer aside button select option"
     " textarea iframe svg canvas object audio video dialog menu search noembed noframes xmp"
     " title".split()
 )
@@ -55,7 +57,10 @@ HINTS = set(
     " pagination pager comment comments disqus respond reply replies".split()
 )
 # Words that stand beside hints in names of page parts and say nothing about a topic.
-PLACES = set("site page main top bottom left right container wrapper box area block bar inner outer".split())
+PLACES = set(
+    "site page main top bottom left right container wrapper wrap box area block bar inner outer"
+    " list section slot unit holder zone panel form thread item body".split()
+)
 HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup caption figcaption legend summary".split())
 # A start tag of the first kind ends an open element of the second.
 ENDS = {
@@ -71,12 +76,10 @@ SCOPES = set("html body main article section div ul ol dl table td th blockquote
 ROOMS = {"article", "main"}
 # What is but a part of the element around it.
 PARTS = set("section blockquote ul ol li dl dt dd p pre figure details h1 h2 h3 h4 h5 h6".split())
-# Hints say nothing on a page of which less than this part is free of them.
-HINTED_PAGE = 0.05
 PUNCTUATION = re.compile(r"[.,;:!?…、。，；：！？¿¡]")
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 @dataclass(frozen=True)
@@ -99,15 +102,19 @@ def _hinted(value: str) -> bool:
 
 
 def _judged(tag: str, attributes: str) -> tuple[bool, bool, str]:
-    """Whether an element is left out, whether it is a candidate, and its name in paths."""
+    """Whether an element is left out, whether its name says so, and its name in paths."""
     if tag in LEFT_OUT:
         return True, False, tag
-    name, drop, hint = tag, bool(attributes) and bool(HIDDEN.search(attributes)), False
+    name, drop, hint = tag, False, False
     for kind, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        value = next(filter(None, values), "").lower()
-        if kind.lower() == "role":
+        kind, value = kind.lower(), next(filter(None, values), "").strip().lower()
+        if kind == "role":
             drop |= value in ROLES
-        else:
+        elif kind == "hidden":
+            drop |= value != "until-found"
+        elif kind == "style":
+            drop |= bool(INVISIBLE.search(value))
+        elif kind in ("class", "id"):
             name += "." + value
             hint |= _hinted(value)
     exempt = tag in ("html", "body", *ROOMS)
@@ -117,9 +124,10 @@ def _judged(tag: str, attributes: str) -> tuple[bool, bool, str]:
 def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
     """``(path, text, hinted)`` of the blocks in page order.
 
-    ``hinted`` says whether the block or an element around it is a candidate to leave out.
+    ``hinted`` says whether the name of the block or of an element around it says that it
+    is no main text.
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, name in paths, left out, candidate
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, name in paths, left out, hinted
     parts: list[str] = []
     at, end = 0, len(html)
 
@@ -184,8 +192,10 @@ def blocks(html: str) -> Iterator[tuple[tuple[str, ...], str, bool]]:
             parts.append(" ")
             continue
         drop, hint, name = _judged(tag, attributes)
+        if tag == "header" and any(outer in ROOMS for outer, *_ in stack):
+            drop = False
         if stack:
-            drop, hint = drop or stack[-1][2], hint or stack[-1][3]
+            drop, hint = drop or stack[-1][2], (hint or stack[-1][3]) and tag != "main"
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             at = stop.end() if stop else end
@@ -227,14 +237,18 @@ def _scores(found: list[tuple[tuple[str, ...], str, bool]], ratios: Ratios) -> d
     return score
 
 
-def _without_idle_hints(found: list) -> list:
-    """The blocks, none of them a candidate if nearly all text of a page is."""
-    plain = sum(len(text) for _, text, hinted in found if not hinted)
-    if plain >= HINTED_PAGE * sum(len(text) for _, text, _ in found):
-        return found
-    if any(_in_room(path) for path, _, hinted in found if not hinted):
-        return found
-    return [(path, text, False) for path, text, _ in found]
+def _in_form(path: tuple[str, ...]) -> bool:
+    return any(_tag(name) == "form" for name in path)
+
+
+def _candidates(found: list, ratios: Ratios) -> list:
+    """The blocks that may be content: all that are not left out, or all if that is none."""
+    plain = [one for one in found if not one[2]]
+    if any(_in_form(path) for path, *_ in plain):
+        score = _scores(plain, ratios)
+        if not _in_form(max(score, key=score.get)):
+            plain = [one for one in plain if not _in_form(one[0])]
+    return plain or found
 
 
 def _containers(content: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
@@ -276,21 +290,21 @@ def _holds(container: tuple[str, ...], path: tuple[str, ...], groups: set[tuple[
 
 def content_blocks(html: str, ratios: Ratios) -> list[str]:
     """The texts of the blocks that are content, in page order."""
-    found = _without_idle_hints(list(blocks(html)))
+    found = list(blocks(html))
     if not found:
         return []
+    found = _candidates(found, ratios)
     score = _scores(found, ratios)
-    plain = {path for path, _, hinted in found if not hinted} or set(score)
-    strongest = max(plain, key=lambda path: score[path] * (ratios.room if _in_room(path) else 1.0))
+    strongest = max(score, key=lambda path: score[path] * (ratios.room if _in_room(path) else 1.0))
     best = score[strongest]
     if _in_room(strongest):
         found = [one for one in found if _in_room(one[0])]
         score = {path: score[path] for path, _, _ in found}
     content = {path for path, value in score.items() if value >= ratios.threshold * best}
-    containers = _containers(content & plain)
+    containers = _containers(content)
     groups = {path[:k] for path in content for k in range(1, len(path) + 1)}
     inside = lambda path: any(_holds(c, path, groups) for c in containers)
-    return [text for path, text, hinted in found if path in content or (not hinted and inside(path))]
+    return [text for path, text, _ in found if path in content or inside(path)]
 
 
 def extract(

@@ -213,7 +213,8 @@ def op3_token_counts(spark, sf_dir):
 @query
 def op7_suffix_dedup(spark, sf_dir):
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
-    return cut.drop("kept")
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return cut.withColumn("text", left).drop("kept")
 
 
 @query

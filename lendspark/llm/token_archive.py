@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from lendspark.llm.common import partitions, stored
 from lendspark.llm.files import attempt_name, open_folder
-from lendspark.llm.tokens import tokenizer
+from lendspark.llm.tokens import narrow, tokenizer
 from lendspark.session import scratch_path
 
 MAGIC = b"TOKARCH1"
@@ -67,14 +67,6 @@ class Archive:
     read_bytes: int = 32 << 20
 
 
-def narrow(ids: bytes, width: int) -> bytes:
-    """Ids of four bytes in ``width`` bytes; raises if one of them does not fit."""
-    values = np.frombuffer(ids, "<u4")
-    if width < 4 and len(values) and int(values.max()) >= 1 << (8 * width):
-        raise ValueError(f"Id {int(values.max())} does not fit in {width} bytes")
-    return values.astype(f"<u{width}").tobytes()
-
-
 def _with_end(settings: Archive):
     encode = tokenizer(settings.tokenizer_path).encode
     end = struct.pack("<I", settings.separator)

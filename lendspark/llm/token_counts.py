@@ -9,7 +9,7 @@ reach over any number of blocks get their full length.
 
 Defined cases: NULL and empty texts are documents of no tokens. Tokens after the last
 separator of a file are a document that is not closed, and count as one. A file without
-tokens has no documents. NULL or repeated ids are counted row by row.
+tokens has no documents. An id that does not fit in ``width`` bytes fails the task. NULL or repeated ids are counted row by row.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import stored
+from lendspark.llm.common import partitions, stored
 from lendspark.llm.files import attempt_name, open_folder
-from lendspark.llm.tokens import tokenizer
+from lendspark.llm.tokens import narrow, tokenizer
 from lendspark.session import scratch_path
 
 TOTAL = -1
@@ -38,6 +38,7 @@ class Layout:
     separator: int
     width: int = 2
     block: int = 4 << 20
+    blocks_a_task: int = 16
 
 
 def write_tokens(
@@ -61,8 +62,7 @@ def write_tokens(
                 if file is None:
                     file = system.open_output_stream(f"{root}/{name}", compression=None)
                 for ids in encode(part.column(1).to_pylist()):
-                    narrow = np.frombuffer(ids, "<u4").astype(f"<u{layout.width}").tobytes()
-                    size += file.write(narrow + end)
+                    size += file.write(narrow(ids, layout.width) + end)
                 yield _rows(name, range(ordinal, ordinal + part.num_rows), part.column(0), None)
                 ordinal += part.num_rows
         if file is not None:
@@ -104,10 +104,12 @@ def scan(files: DataFrame, folder: str, layout: Layout) -> DataFrame:
                 )
 
     last_block = F.floor((F.col("bytes") - 1) / layout.block)
+    # Rows are small but what they name is not, so tasks follow from the bytes.
+    count = files.where("bytes > 0").agg(F.sum(last_block + 1)).first()[0] or 1
     blocks = (
         files.where("bytes > 0")
         .select("file", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"))
-        .repartition("file", "block")
+        .repartition(min(count, max(partitions(files), -(-count // layout.blocks_a_task))), "file", "block")
         .mapInArrow(run, "file STRING, block BIGINT, ends ARRAY<BIGINT>")
     )
     found = stored(blocks, "separators")

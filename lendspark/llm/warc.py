@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.llm.common import stored
+from lendspark.llm.common import partitions, stored
 from lendspark.llm.files import attempt_name, open_folder
 from lendspark.session import scratch_path
 
@@ -220,9 +220,12 @@ def read_records(chosen: DataFrame, folder: str, settings: Archive = Archive())
         return _batch(rows, READ)
 
     part = F.floor(F.col("offset") / settings.share)
+    # Index rows are small but what they name is not, so tasks follow from the bytes.
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    tasks = max(partitions(chosen), -(-total // settings.share))
     dealt = (
         chosen.select("file", "offset", "length", part.alias("part"))
-        .repartition("file", "part")
+        .repartition(tasks, "file", "part")
         .sortWithinPartitions("file", "offset")
     )
     return dealt.select("file", "offset", "length").mapInArrow(run, READ)

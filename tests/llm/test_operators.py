@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -23,8 +24,10 @@ from lendspark.llm import (
     queries,
     repeats,
     token_counts,
+    tokens,
     warc,
 )
+from lendspark.llm.common import stored
 from lendspark.llm.components import components
 from lendspark.llm.files import open_folder
 from lendspark.llm.mixing import Mix, leaf_budgets, mix_sources
@@ -410,7 +413,87 @@ def test_words_of_names_do_not_take_text_out_of_an_article():
     <section id="comments"><p>{long}</p></section><div class="share">Share it</div></article></body>"""
     kept = main_text.content_blocks(page, main_text.Ratios())
     text = long.strip()
-    assert kept == ["Search", text, "Related work", text, text, f"{text} An alert inside.", text]
+    assert kept == ["Search", text, "Related work", text, text, f"{text} An alert inside."]
+
+
+LONG_COMMENT = "I do not agree, with many words, and commas. And so on, and so forth, without an end. " * 6
+ARTICLE = "<h1>Title</h1><p>{0}</p><p>{0}</p><ul><li>Item</li></ul>".format("A sentence, with commas, that goes on. " * 9)
+WANTED = ["Title", *["A sentence, with commas, that goes on. " * 9] * 2, "Item"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><article>{a}<div class='comments'><p>{c}</p><p>{c}</p></div></article></body>",
+        "<body><article>{a}</article><section id=comments><article class=comment><p>{c}</p></article></section></body>",
+        "<body><main>{a}<div class=ad>{c}</div></main></body>",
+        "<body><div class=sidebar><p>{c}</p></div><div class=post>{a}</div></body>",
+        "<body><div class='cookie-notice'><p>{c}</p></div><article>{a}</article></body>",
+        "<body><form action=/><header><p>Site</p></header><div class=post>{a}</div></form></body>",
+        "<body><article>{a}<form class=x><p>{c}</p><p>short</p></form><p hidden>{c}</p></article></body>",
+        "<body><div class=post>{a}</div><div style='color:red; display: none'><p>{c}</p></div></body>",
+        "<body><article>{a}<div role=complementary><p>{c}</p></div><aside><p>{c}</p></aside></article></body>",
+        "<body><div class='site-sidebar-wrapper'><main>{a}</main><p>{c}</p></div></body>",
+        "<body><div id=content>{a}<ol class='comment-list'><li>{c}</li><li>{c}</li></ol></div></body>",
+        "<body><article>{a}</article><div class='newsletter signup'><p>{c}</p></div><footer><p>{c}</p></footer></body>",
+    ],
+)
+def test_comments_adverts_and_the_like_go_whatever_they_hold(page):
+    html = page.format(a=ARTICLE, c=LONG_COMMENT)
+    assert main_text.content_blocks(html, main_text.Ratios()) == [t.strip() for t in WANTED]
+
+
+def test_attributes_are_read_as_such():
+    long = "A long sentence, with commas, that goes on for a while. " * 4
+    page = f"""<article><header><h1>Title</h1></header><p title="a hidden gem">{long}</p>
+    <p data-role="search">{long}</p><p data-hidden="no" class="x">{long}</p><p hidden="">{long}</p></article>"""
+    assert main_text.content_blocks(page, main_text.Ratios()) == ["Title", *[long.strip()] * 3]
+
+
+def test_a_page_that_is_all_hinted_is_left_to_the_ratios():
+    long = "A long sentence, with commas, that goes on for a while. " * 4
+    page = f"<div class=sidebar><p>{long}</p><a>x</a></div>"
+    assert long.strip() in main_text.content_blocks(page, main_text.Ratios())
+
+
+def test_lines_of_a_long_text_are_looked_up_in_linear_time(spark):
+    letters = lambda k: "".join(chr(97 + (k // 26**i) % 26) for i in range(4))
+    menu = "\n".join(f"menu {letters(i)}" for i in range(10_000))
+    own = "\n".join(f"own words about {letters(i)} and more" for i in range(10_000))
+    rows = [(1, f"{own}\n{menu}")] + [(2 + i, f"{menu}\n{letters(i)} alone") for i in range(25)]
+    clashes = ["_all", "_left", "_host", "_gone", "_k1", "_words", "_lines", "kept", "a.b"]
+    df = documents(spark, rows).withColumns({name: F.lit("x") for name in clashes})
+    judged = line_quality._judged(line_quality._renamed(df), "_in_text", "_in_source", line_quality.Limits())
+    started = time.time()
+    (row,) = line_quality._without_frequent(judged.where("_in_doc_id = 1"), "_in_text").collect()
+    assert row["_in_text"] == own and time.time() - started < 30
+    assert line_quality.keep_good(df).columns == df.columns
+    verdict = line_quality.with_verdict(df)
+    assert set(clashes) <= set(verdict.columns) and verdict.where("doc_id = 1").first()["a.b"] == "x"
+
+
+def test_reading_tasks_follow_the_bytes(spark):
+    folder = scratch_path(spark, "many-blocks")
+    df = documents(spark, [(i, "some words " * 50) for i in range(64)]).repartition(2)
+    layout = token_counts.Layout(49407, block=64, blocks_a_task=4)
+    manifest = token_counts.write_tokens(df, folder, VOCABULARY, layout, "text", "doc_id")
+    files = manifest.where(F.col("ordinal") == token_counts.TOTAL).select("file", "bytes")
+    tasks = []
+    keep = token_counts.stored
+    token_counts.stored = lambda frame, name: tasks.append(frame.rdd.getNumPartitions()) or keep(frame, name)
+    try:
+        token_counts.scan(files, folder, layout)
+    finally:
+        token_counts.stored = keep
+    total = files.agg(F.sum("bytes")).first()[0]
+    assert tasks[0] >= total // 64 // 4
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * 300) for i in range(40)], "page_id BIGINT, url STRING, html STRING")
+    small = warc.Archive(share=200)
+    index = warc.write_archive(pages, scratch_path(spark, "warc-tasks"), small)
+    size = index.agg(F.sum("length")).first()[0]
+    assert warc.read_records(index, "/nowhere", small).rdd.getNumPartitions() >= size // 200
+    with pytest.raises(ValueError, match="70000"):
+        tokens.narrow(np.array([70_000], "<u4").tobytes(), 2)
 
 
 def test_a_teaser_in_an_article_element_is_not_the_page():
@@ -533,7 +616,7 @@ def test_every_stage_of_the_pipeline_keeps_exactly_what_it_should(spark):
     stages, ids, rows = dict(corpus_pipeline.STAGES), {}, {}
     df = queries.table(spark, SMALL, "documents")
     for name in ("quality_rules", "exact_dedup", "near_dedup", "mixing"):
-        df = stages[name](spark, df, SMALL).localCheckpoint()
+        df = stored(stages[name](spark, df, SMALL), "stage")
         rows[name] = df.collect()
         ids[name] = sorted(r["doc_id"] for r in rows[name])
     good = queries.QUERIES["op8_quality_rules"](spark, SMALL).where("kept").collect()

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lendspark.llm import queries, token_archive
+from lendspark.llm import queries, token_archive, tokens
 from lendspark.llm.files import open_folder
 from lendspark.llm.tokens import Tokenizer as Fast
 from lendspark.session import scratch_path
@@ -96,8 +96,8 @@ def test_the_dictionary_is_shared_named_and_needed(spark):
 
 def test_ids_that_do_not_fit_are_refused():
     with pytest.raises(ValueError, match="70000"):
-        token_archive.narrow(np.array([1, 70_000], "<u4").tobytes(), 2)
-    assert token_archive.narrow(np.array([1, 70_000], "<u4").tobytes(), 4)
+        tokens.narrow(np.array([1, 70_000], "<u4").tobytes(), 2)
+    assert tokens.narrow(np.array([1, 70_000], "<u4").tobytes(), 4)
 
 
 def test_files_are_in_order_and_self_contained(spark):
