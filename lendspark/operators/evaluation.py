@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from lendspark.constants import CHARGED_OFF, FULLY_PAID
@@ -57,15 +57,16 @@ def _score_counts(predictions: DataFrame, score: str, label: str, *others) -> Da
     )
 
 
-def _score_curve(per_score: DataFrame, path: str) -> DataFrame:
-    """Counts per score, accumulated from the highest score down."""
+def _score_curve(per_score: DataFrame, path: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Counts per score, accumulated from the highest score down within each group."""
     downwards = [F.col("score").desc()]
-    return running_totals(key_ranges(per_score, downwards, path), ["pos", "neg"], downwards)
+    ranges = key_ranges(per_score, downwards, path, groups)
+    return running_totals(ranges, ["pos", "neg"], downwards, groups)
 
 
-def _curve_areas(curve: DataFrame) -> DataFrame:
+def _curve_areas(curve: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     total = lambda name: F.coalesce(F.sum(name), F.lit(0))
-    totals = curve.agg(total("pos").alias("all_pos"), total("neg").alias("all_neg"))
+    totals = curve.groupBy(*groups).agg(total("pos").alias("all_pos"), total("neg").alias("all_neg"))
     pos, neg, tp, fp = (F.col(name) for name in ("pos", "neg", "cum_pos", "cum_neg"))
     all_pos, all_neg = F.col("all_pos"), F.col("all_neg")
 
@@ -79,8 +80,12 @@ def _curve_areas(curve: DataFrame) -> DataFrame:
     before = F.when(earlier > 0, (tp - pos) / earlier).otherwise(here)
     steps = F.sum(pos * (here + before) / 2.0)
 
+    # One row, or one per group, of which the callers have few.
+    with_totals = (
+        curve.join(F.broadcast(totals), list(groups)) if groups else curve.crossJoin(F.broadcast(totals))
+    )
     return (
-        curve.crossJoin(F.broadcast(totals))
+        with_totals.groupBy(*groups)
         .agg(
             F.coalesce(F.max("all_pos"), F.lit(0)).alias("all_pos"),
             F.coalesce(F.max("all_neg"), F.lit(0)).alias("all_neg"),
@@ -88,6 +93,7 @@ def _curve_areas(curve: DataFrame) -> DataFrame:
             steps.alias("steps"),
         )
         .select(
+            *groups,
             F.when(all_pos == 0, 0.0)
             .when(all_neg == 0, 1.0)
             .otherwise(F.col("pairs").cast("double") / 2.0 / all_pos / all_neg)
@@ -112,6 +118,17 @@ def ranking_areas(
         return _at_once(_curve_areas(_score_curve(_score_counts(predictions, score, label), path)))
 
 
+def ranking_areas_by(
+    predictions: DataFrame, groups: Sequence[str], score: str = "score", label: str = "label"
+) -> list[Row]:
+    """The same for each of a few groups, a row per group with the groups' columns."""
+    counts = predictions.groupBy(*groups, F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1.0).alias("pos"), F.count_if(F.col(label) == 0.0).alias("neg")
+    )
+    with work_folder(predictions.sparkSession, "curves") as path:
+        return _curve_areas(_score_curve(counts, path, groups), groups).collect()
+
+
 def _at_once(row: DataFrame) -> DataFrame:
     """A frame of one row with its values in it."""
     return row.sparkSession.createDataFrame(row.collect(), row.schema)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
 
+import numpy as np
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, NaiveBayes, RandomForestClassifier
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lendspark.constants import CV_FOLDS, CV_METRIC, CV_PARALLELISM, SEED
 from lendspark.functions.measures import millionths
+from lendspark.operators import bayes_search
 
 RANDOM_FOREST = "RandomForest"
 LINEAR_SVC = "LinearSVC"
@@ -133,9 +135,22 @@ class Search:
 
 
 def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossValidatorModel:
-    """Search the whole grid on the training rows alone and refit the best on all of them."""
+    """Search the whole grid on the training rows alone and refit the best on all of them.
+
+    All combinations of naive Bayes are scored from shared statistics, see
+    :mod:`lendspark.operators.bayes_search`; other families fit each combination.
+    """
     search = search or Search(SEARCH_GRIDS[family])
     estimator = search_estimator(family)
+    if family == NAIVE_BAYES and set(search.grid) <= bayes_search.KNOWN:
+        found = _tune_bayes(estimator, train, search)
+        if found is not None:
+            return found
+    return tune_by_fits(estimator, train, search)
+
+
+def tune_by_fits(estimator: Estimator, train: DataFrame, search: Search) -> CrossValidatorModel:
+    """The search with a fit for every combination and fold."""
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_maps(estimator, search.grid),
@@ -154,6 +169,34 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
         train.unpersist()
 
 
+def _tune_bayes(
+    estimator: Pipeline, train: DataFrame, search: Search
+) -> CrossValidatorModel | None:
+    """The same without fits; None if a training part lacks a class."""
+    maps = param_maps(estimator, search.grid)
+    scaler, _, classifier = estimator.getStages()
+    settings = [
+        (float(m.get(scaler.max, scaler.getMax())), float(m.get(classifier.smoothing, classifier.getSmoothing())))
+        for m in maps
+    ]
+    distinct = list(dict.fromkeys(settings))
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if search.group_copies:
+            folded = with_folds(kept, search.folds)
+        else:
+            folded = bayes_search.random_folds(kept, search.folds, SEED)
+        found = bayes_search.fold_metrics(folded, search.folds, distinct, search.metric)
+        if found is None:
+            return None
+        metrics = found[:, [distinct.index(s) for s in settings]]
+        average = metrics.mean(axis=0)
+        best = estimator.fit(kept, maps[int(np.argmax(average))])
+    finally:
+        kept.unpersist()
+    return CrossValidatorModel(best, avgMetrics=average.tolist(), stdMetrics=metrics.std(axis=0).tolist())
+
+
 def describe_params(model: Model) -> str:
     """Settings of a fitted model, sorted; those of a pipeline carry their stage's uid."""
     if isinstance(model, PipelineModel):

@@ -83,6 +83,31 @@ def test_every_combination_is_tried(data):
     assert len(found.avgMetrics) == 27
 
 
+def test_shared_statistics_score_as_fits_do(data, spark):
+    """All 27 averages, by one pass of sums against 81 fits."""
+    search = Search(training.SEARCH_GRIDS[NAIVE_BAYES], parallelism=4)
+    tracker = spark.sparkContext.statusTracker()
+    train = data.train_balanced
+    spark.sparkContext.setJobGroup("shared", "shared")
+    shared = training.tune(NAIVE_BAYES, train, search)
+    jobs = len(tracker.getJobIdsForGroup("shared"))
+    spark.sparkContext.setJobGroup("one", "one")
+    training.tune(NAIVE_BAYES, train, Search({"smoothing": [1.0]}))
+    assert 0 < jobs <= len(tracker.getJobIdsForGroup("one")) + 2
+    spark.sparkContext.setJobGroup("fits", "fits")
+    fits = training.tune_by_fits(training.search_estimator(NAIVE_BAYES), train, search)
+    assert shared.avgMetrics == pytest.approx(fits.avgMetrics, abs=1e-9)
+    assert shared.bestModel.stages[-1].getSmoothing() == fits.bestModel.stages[-1].getSmoothing()
+
+
+def test_a_training_part_without_a_class_is_left_to_fits(data, spark):
+    few = data.train_balanced.where("label = 1.0").limit(6)
+    from lendspark.operators import bayes_search
+
+    folded = bayes_search.random_folds(few, 3, 1)
+    assert bayes_search.fold_metrics(folded, 3, [(1.0, 1.0)], "areaUnderPR") is None
+
+
 def test_metrics_of_no_predictions_are_one_row_of_zeros(spark):
     rows = evaluation.evaluate(scored(spark, 5).limit(0), "none").collect()
     assert [tuple(row) for row in rows] == [("none", *[0.0] * 6, *[0] * 4)]
