@@ -78,6 +78,18 @@ FROM prepared CROSS JOIN (
 WHERE side = 'train'
 """
 
+RATIO = """
+SELECT CASE WHEN n0 > n1 THEN 1.0 ELSE 0.0 END AS minority,
+  greatest(n0, n1)::DOUBLE / least(n0, n1)::DOUBLE AS mean
+FROM (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
+  FROM prepared WHERE side = 'train') c
+"""
+# The Poisson distribution function.
+STEPS = """
+SELECT k, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (ORDER BY k) AS reached
+FROM ratio, range(0, 100) AS t(k)
+"""
+
 
 def _codes() -> str:
     """Slot of every category in the feature vector: by frequency, then by name."""
@@ -128,6 +140,8 @@ CTES = {
     "prepared": PREPARED,
     "filled": FILLED,
     "balanced": BALANCED,
+    "ratio": RATIO,
+    "steps": STEPS,
     "codes": _codes(),
     "vectors": _vectors(),
 }
@@ -509,6 +523,16 @@ ORACLES["impute_modes"] = over(
     f"SELECT * {ISSUE_AS_TEXT} FROM filled", "prepared", "filled"
 )
 ORACLES["balance_train"] = over("SELECT * FROM balanced", "prepared", "balanced")
+ORACLES["balance_train_drawn"] = over(
+    f"""SELECT * FROM (
+  SELECT id, label, CASE WHEN label <> minority THEN 1 ELSE (
+    SELECT count(*) FROM steps
+    WHERE 1e6 * steps.reached <= ((id % 1000003) * 2654435761 + {SEED}) % 1000000) END AS copies
+  FROM prepared CROSS JOIN ratio WHERE side = 'train') t WHERE copies > 0""",
+    "prepared",
+    "ratio",
+    "steps",
+)
 ORACLES["shuffled_train"] = over(
     """SELECT id, CAST(copy AS INTEGER) AS copy, label
 FROM balanced, unnest(range(1, copies + 1)) AS u(copy)""",

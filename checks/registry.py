@@ -454,6 +454,13 @@ def balance_train(spark, sf_dir):
     return preparation.balance(train).groupBy("id", "label").agg(row_count().alias("copies"))
 
 
+@query
+def balance_train_drawn(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    drawn = preparation.balance(train, with_replacement=True)
+    return drawn.groupBy("id", "label").agg(row_count().alias("copies"))
+
+
 @query
 def shuffled_train(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
