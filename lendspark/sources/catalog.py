@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lendspark.constants import SUMMARY_SCHEMAS
+from lendspark.sources import versions
+from lendspark.sources.names import quoted
 from lendspark.sources.writers import as_declared, export_csv
 
 
-def quoted(name: str) -> str:
-    """A name, with or without its database, safe to stand in a statement."""
-    if name.startswith("`"):
-        return name
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
-
-
 def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}")
 
@@ -36,12 +32,20 @@ def table_statistics(spark: SparkSession, table: str) -> dict[str, int]:
 
 
 def publish_dashboard(summaries: Mapping[str, DataFrame], root: str) -> None:
-    """Write the summary tables side by side under ``root``, one folder each."""
+    """Write the summary tables side by side, and make them the current package together.
+
+    A reader sees the tables of one publication, see :mod:`lendspark.sources.versions`.
+    """
     unknown = sorted(set(summaries) - set(SUMMARY_SCHEMAS))
     if unknown:
         raise ValueError(f"Not a summary table: {', '.join(unknown)}")
-    for name, df in summaries.items():
-        export_csv(as_declared(df, SUMMARY_SCHEMAS[name]), f"{root}/{name}")
+    if not summaries:
+        return
+    spark = next(iter(summaries.values())).sparkSession
+    writes = {
+        name: partial(export_csv, as_declared(df, SUMMARY_SCHEMAS[name])) for name, df in summaries.items()
+    }
+    versions.publish_package(spark, root, writes)
 
 
 def register_summaries(
@@ -53,15 +57,17 @@ def register_summaries(
 ) -> dict[str, str]:
     """External tables over those folders of :func:`publish_dashboard` that ``names`` tells.
 
+    All of them belong to the latest publication at the time of the call.
     Quoted fields are honoured, so parameter text with commas stays whole.
     """
     tables = {}
+    folder = versions.current_package(spark, root)
     for name in names:
         table = f"{database}.{prefix}{name}"
         spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
         spark.catalog.createTable(
             quoted(table),
-            path=f"{root}/{name}",
+            path=f"{folder}/{name}",
             source="csv",
             schema=T.StructType.fromDDL(SUMMARY_SCHEMAS[name]),
             header="true",
