@@ -39,7 +39,8 @@ from lendspark.operators.training import (
     SEARCH_GRIDS,
     Search,
 )
-from lendspark.plans import business, quality
+from lendspark.operators.validation import ConstraintViolation
+from lendspark.plans import business, modelling, quality
 from lendspark.plans.ingest import ingest
 from lendspark.plans.modelling import (
     Fitted,
@@ -52,7 +53,7 @@ from lendspark.plans.modelling import (
 )
 from lendspark.plans.reporting import publish_reports
 from lendspark.session import scratch_path
-from lendspark.sources import catalog, readers, writers
+from lendspark.sources import catalog, readers, versions, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -313,6 +314,20 @@ def curated_partitioned(spark, sf_dir):
     return dates_as_text(curated.select(*LOAN_SCHEMA.fieldNames()))
 
 
+@query
+def published_versions(spark, sf_dir):
+    """The curated table after a version was published and two more were refused."""
+    root, table = scratch_path(spark, "published"), "lendspark_versions"
+    loans = fx.loans(spark, sf_dir)
+    versions.publish_curated(loans, table, root)
+    for refused in (loans.withColumn("loan_amnt", -F.col("loan_amnt")), loans.union(loans.limit(1))):
+        try:
+            versions.publish_curated(refused, table, root)
+        except ConstraintViolation:
+            pass
+    return dates_as_text(spark.table(table).select(*LOAN_SCHEMA.fieldNames()))
+
+
 @query
 def orc_publish(spark, sf_dir):
     report = business.default_rate_by_grade(fx.loans(spark, sf_dir))
@@ -717,6 +732,20 @@ def joined_outputs(spark, sf_dir):
     )
 
 
+@query
+def colocated_outputs(spark, sf_dir):
+    """Rows joined in place with two models, one of which says nothing of some rows."""
+    scores = fx.scores(spark, sf_dir)
+    return modelling.joined_outputs(
+        scores.select("id", "label"),
+        {
+            "m": scores.where("label = 1").select("id", "prediction"),
+            "other": scores.select("id", (1 - F.col("prediction")).alias("prediction")),
+        },
+        scratch_path(spark, "colocated"),
+    )
+
+
 @query
 def training_artifacts(spark, sf_dir):
     """Per model: rows in its saved predictions, rows in its saved metrics, and rows that

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from lendspark.constants import (
 )
 from lendspark.operators import preparation as prep
 from lendspark.operators.encoding import encode, vector_width
-from lendspark.operators.evaluation import evaluate
+from lendspark.operators.evaluation import evaluate, join_model_outputs
 from lendspark.operators.training import (
     Search,
     baseline_estimator,
@@ -29,6 +30,7 @@ from lendspark.sources.writers import (
     save_json_artifact,
     save_model,
     save_predictions,
+    write_colocated,
     write_parquet,
 )
 
@@ -160,6 +162,24 @@ def save_artifacts(data: TrainingData, fits: Mapping[str, Fitted], root: str) ->
         export_csv(fit.metrics(with_params=bool(fit.params)), f"{root}/{family}/metrics")
 
 
+def joined_outputs(
+    rows: DataFrame, predictions: Mapping[str, DataFrame], root: str, buckets: int = 8
+) -> DataFrame:
+    """All ``rows`` with the outputs of every model, however many rows there are.
+
+    Rows and predictions are written once in the same buckets by id, below ``root``; the
+    joins then read bucket by bucket and shuffle nothing. Tables stay in the catalog, under
+    names of their own.
+    """
+    mark = uuid4().hex
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        return write_colocated(df, f"joined_{name}_{mark}", f"{root}/{name}", "id", buckets)
+
+    outputs = {prefix: placed(df, f"by_{prefix}") for prefix, df in predictions.items()}
+    return join_model_outputs(placed(rows, "rows"), outputs)
+
+
 def comparison(fits: Mapping[str, Fitted], with_params: bool = False) -> DataFrame:
     """The metrics of several models, one row each."""
     return prep.union_all([fit.metrics(with_params) for fit in fits.values()])

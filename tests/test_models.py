@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks import registry
 from lendspark.operators import evaluation, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
+from lendspark.plans import modelling
 from lendspark.session import checkpoint_root
 from lendspark.sources import writers
 from tests.conftest import SMALL
@@ -108,6 +109,28 @@ def test_a_training_part_without_a_class_is_left_to_fits(data, spark):
     assert bayes_search.fold_metrics(folded, 3, [(1.0, 1.0)], "areaUnderPR") is None
 
 
+def test_predictions_are_joined_where_they_lie(spark, tmp_path):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        rows = scored(spark, 3000)
+        if "id" not in rows.columns:
+            rows = rows.withColumn("id", F.monotonically_increasing_id())
+        rows = rows.select("id", "label", "prediction").persist()
+        models = {"a": rows.select("id", "prediction"), "b": rows.where("id % 3 = 0").select("id", "prediction")}
+        joined = modelling.joined_outputs(rows.select("id", "label"), models, str(tmp_path), buckets=4)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 4
+        found = joined.collect()
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert len(found) == rows.count()
+        assert all((r["b_prediction"] is not None) == (r["id"] % 3 == 0) and r["a_prediction"] is not None for r in found)
+        rows.unpersist()
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_metrics_of_no_predictions_are_one_row_of_zeros(spark):
     rows = evaluation.evaluate(scored(spark, 5).limit(0), "none").collect()
     assert [tuple(row) for row in rows] == [("none", *[0.0] * 6, *[0] * 4)]
