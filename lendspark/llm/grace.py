@@ -172,7 +172,7 @@ def deduplicate(
     holds.
     """
     content = F.coalesce(F.col(text), F.lit(""))
-    inputs = [F.col(name).alias(f"in_{n}") for n, name in enumerate(df.columns) if name != text]
+    inputs = [F.col(f"`{name}`").alias(f"in_{n}") for n, name in enumerate(df.columns) if name != text]
     records = df.select(
         F.xxhash64(content).alias("_hash"),
         content.alias("_content"),

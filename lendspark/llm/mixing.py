@@ -127,7 +127,7 @@ def mix_sources(
     content = F.coalesce(F.col(text), F.lit(""))
     size = F.size(words(content)) if tokens is None else tokens
     keyed = df.select(
-        F.struct(*[F.col(name) for name in df.columns]).alias("row"),
+        F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("row"),
         *[F.coalesce(level, F.lit("")).alias(name) for level, name in zip(levels, names)],
         F.col(doc_id).alias("_id"),
         F.xxhash64(content).alias("_text_key"),

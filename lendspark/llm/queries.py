@@ -129,7 +129,8 @@ def op10_best_fit_packing(spark, sf_dir):
 
 @query
 def op2_minhash_near_dedup(spark, sf_dir):
-    groups = chosen_path.near_groups(table(spark, sf_dir, "documents"))
+    two_words = chosen_path.Join(words=2)
+    groups = chosen_path.near_groups(table(spark, sf_dir, "documents"), settings=two_words)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
