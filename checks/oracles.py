@@ -243,6 +243,7 @@ def numeric_summary_sql(table: str, columns, digits: int = 6) -> str:
 
 
 ORACLES["dq_categorical_counts"] = over(value_count_sql("loans", CATEGORICAL_FEATURES))
+ORACLES["incremental_counts"] = ORACLES["dq_categorical_counts"]
 ORACLES["dq_numeric_summary"] = over(numeric_summary_sql("loans", STORED_NUMERIC_FEATURES))
 ORACLES["lineitem_value_counts"] = value_count_sql(
     "lineitem", ["l_returnflag", "l_linestatus", "l_linenumber"]

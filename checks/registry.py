@@ -31,7 +31,7 @@ from lendspark.functions.text import (
     parse_term,
     to_int,
 )
-from lendspark.operators import cleaning, evaluation, preparation, profile, validation
+from lendspark.operators import cleaning, evaluation, incremental, preparation, profile, validation
 from lendspark.operators.training import (
     LINEAR_SVC,
     NAIVE_BAYES,
@@ -140,6 +140,18 @@ on_loans("dq_numeric_distributions", quality.bucket_report)
 on_loans("status_share_crossjoin", profile.status_distribution)
 
 
+@query
+def incremental_counts(spark, sf_dir):
+    """Value counts of a table that got a partition after it was first profiled."""
+    path, root = scratch_path(spark, "profiled"), scratch_path(spark, "states")
+    loans = fx.loans(spark, sf_dir).withColumn("part", F.col("grade"))
+    wanted = incremental.Profile(["grade"], CATEGORICAL_FEATURES)
+    for condition in ("grade <> 'A'", "grade = 'A'"):
+        loans.where(condition).write.mode("append").partitionBy("part").parquet(path)
+        incremental.refresh(spark.read.parquet(path), "part", wanted, root)
+    return incremental.value_counts(incremental.stored_states(spark, root))
+
+
 @query
 def schema_catalog(spark, sf_dir):
     """Of the stored table, as a reader declares it."""

@@ -1,4 +1,7 @@
-"""Data-quality reports on the loans table. Each scans it once."""
+"""Data-quality reports on the loans table.
+
+Each scans it once, but for the numeric report, which looks again for exact percentiles.
+"""
 
 from __future__ import annotations
 
