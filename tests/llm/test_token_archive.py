@@ -63,8 +63,12 @@ def test_odd_rows_clashing_names_and_small_files(spark):
     assert token_archive.round_trip(spark.createDataFrame([], SCHEMA), settings).count() == 0
 
 
+def text_of(i):
+    return f"document {i} speaks of this and that, " + "and what all the others say of it as well, " * 4 + f"but for {i * i}"
+
+
 def written(spark, n=300):
-    df = spark.createDataFrame([(i, f"document {i} speaks of this and that, {i * i}") for i in range(n)], SCHEMA)
+    df = spark.createDataFrame([(i, text_of(i)) for i in range(n)], SCHEMA)
     settings = token_archive.Archive(VOCABULARY)
     folder = scratch_path(spark, "archive-test")
     dictionary = token_archive.train_dictionary(df, settings)
@@ -78,7 +82,7 @@ def test_one_document_is_read_alone(spark):
     second = rows[1]["file"]
     first = rows[0]["documents"]
     ids = token_archive.read_document(folder, second, dictionary, 3)
-    assert ids.tolist() == ids_of(f"document {first + 3} speaks of this and that, {(first + 3) ** 2}").tolist()
+    assert ids.tolist() == ids_of(text_of(first + 3)).tolist()
 
 
 def test_the_dictionary_is_shared_named_and_needed(spark):
