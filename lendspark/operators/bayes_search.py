@@ -13,11 +13,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendspark.operators.blocks import feature_blocks, held_out_scores
 from lendspark.operators.evaluation import ranking_areas_by
 
 #: Settings whose effect is known here; thresholds change no score.
@@ -104,28 +104,21 @@ def fold_models(sums: dict, fold: int, settings: Sequence[tuple[float, float]]):
     ]
 
 
-MODELS = (
-    "fold INT, least ARRAY<DOUBLE>, width ARRAY<DOUBLE>,"
-    " models ARRAY<STRUCT<largest: DOUBLE, weights: ARRAY<DOUBLE>, prior: DOUBLE>>"
-)
+def _scored(scaling: Scaling, models: Sequence[tuple]):
+    """A function that scores rows of features under all models of a fold."""
+    weights = np.array([own for _, own, _ in models])
+    largest = np.array([most for most, _, _ in models])
+    priors = np.array([prior for _, _, prior in models])
+    spread = np.where(scaling.width > 0, scaling.width, 1.0)
 
+    def score(x: np.ndarray) -> np.ndarray:
+        unit = np.where(scaling.width > 0, np.maximum((x - scaling.least) / spread, 0.0), 0.5)
+        total = np.zeros((len(x), len(models)))
+        for column, own in zip(unit.T, weights.T):
+            total += column[:, None] * largest * own
+        return total + priors
 
-def held_out_scores(df: DataFrame, models: DataFrame) -> DataFrame:
-    """``fold, model, score, label``: each row under all models of the fold it is held out of."""
-    unit = lambda p: F.when(
-        p["width"] > 0, F.greatest((p["x"] - p["least"]) / p["width"], F.lit(0.0))
-    ).otherwise(0.5)
-    features = F.arrays_zip(vector_to_array("features").alias("x"), F.col("least"), F.col("width"))
-    # Exploding a single entry keeps the scaled row from being worked out again per model.
-    scaled = df.join(F.broadcast(models), "fold").select(
-        "fold", "label", "models", F.explode(F.array(F.transform(features, unit))).alias("unit")
-    )
-
-    def score(model: Column) -> Column:
-        terms = F.zip_with("unit", model["weights"], lambda u, w: u * model["largest"] * w)
-        return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term) + model["prior"]
-
-    return scaled.select("fold", "label", F.posexplode(F.transform("models", score)).alias("model", "score"))
+    return score
 
 
 def fold_metrics(df: DataFrame, folds: int, settings: Sequence[tuple[float, float]], metric: str) -> np.ndarray | None:
@@ -138,12 +131,9 @@ def fold_metrics(df: DataFrame, folds: int, settings: Sequence[tuple[float, floa
     fitted = [fold_models(sums, fold, settings) for fold in range(folds)]
     if None in fitted:
         return None
-    rows = []
-    for fold, (scaling, models) in enumerate(fitted):
-        plain = [(largest, weights.tolist(), prior) for largest, weights, prior in models]
-        rows.append((fold, scaling.least.tolist(), scaling.width.tolist(), plain))
-    models = df.sparkSession.createDataFrame(rows, MODELS)
-    areas = ranking_areas_by(held_out_scores(df, models), ["fold", "model"])
+    blocks = feature_blocks(df)
+    scored = [_scored(scaling, models) for scaling, models in fitted]
+    areas = ranking_areas_by(held_out_scores(blocks, scored), ["fold", "model"])
     found = np.zeros((folds, len(settings)))
     for row in areas:
         found[row["fold"], row["model"]] = row[metric]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lendspark.constants import CV_FOLDS, CV_METRIC, CV_PARALLELISM, SEED
 from lendspark.functions.measures import millionths
-from lendspark.operators import bayes_search
+from lendspark.operators import bayes_search, margin_search
 
 RANDOM_FOREST = "RandomForest"
 LINEAR_SVC = "LinearSVC"
@@ -138,15 +138,31 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
     """Search the whole grid on the training rows alone and refit the best on all of them.
 
     All combinations of naive Bayes are scored from shared statistics, see
-    :mod:`lendspark.operators.bayes_search`; other families fit each combination.
+    :mod:`lendspark.operators.bayes_search`, and all linear SVC are fitted by the same passes,
+    see :mod:`lendspark.operators.margin_search`; random forests fit each combination.
     """
     search = search or Search(SEARCH_GRIDS[family])
     estimator = search_estimator(family)
+    found = None
     if family == NAIVE_BAYES and set(search.grid) <= bayes_search.KNOWN:
-        found = _tune_bayes(estimator, train, search)
-        if found is not None:
-            return found
-    return tune_by_fits(estimator, train, search)
+        found = _tune_together(estimator, train, search, _bayes_metrics)
+    if family == LINEAR_SVC and set(search.grid) <= margin_search.KNOWN:
+        found = _tune_together(estimator, train, search, _margin_metrics)
+    return found or tune_by_fits(estimator, train, search)
+
+
+# Rows that one task of a fit is given at most.
+TASK_ROWS = 1 << 18
+
+
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """``df`` dealt evenly to all cores, in an order that does not depend on tasks.
+
+    Well compressed rows lie in few files, which few tasks would read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, -(-df.count() // TASK_ROWS))
+    return df.repartition(parts, key).sortWithinPartitions(key)
 
 
 def tune_by_fits(estimator: Estimator, train: DataFrame, search: Search) -> CrossValidatorModel:
@@ -162,34 +178,27 @@ def tune_by_fits(estimator: Estimator, train: DataFrame, search: Search) -> Cros
     if search.group_copies:
         train = with_folds(train, search.folds)
         validator = validator.setFoldCol("fold")
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return validator.fit(train)
     finally:
         train.unpersist()
 
 
-def _tune_bayes(
-    estimator: Pipeline, train: DataFrame, search: Search
+def _tune_together(
+    estimator: Estimator, train: DataFrame, search: Search, measured: Callable
 ) -> CrossValidatorModel | None:
-    """The same without fits; None if a training part lacks a class."""
+    """The same without a fit per combination; None if a training part lacks a class."""
     maps = param_maps(estimator, search.grid)
-    scaler, _, classifier = estimator.getStages()
-    settings = [
-        (float(m.get(scaler.max, scaler.getMax())), float(m.get(classifier.smoothing, classifier.getSmoothing())))
-        for m in maps
-    ]
-    distinct = list(dict.fromkeys(settings))
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if search.group_copies:
             folded = with_folds(kept, search.folds)
         else:
             folded = bayes_search.random_folds(kept, search.folds, SEED)
-        found = bayes_search.fold_metrics(folded, search.folds, distinct, search.metric)
-        if found is None:
+        metrics = measured(estimator, maps, folded, search)
+        if metrics is None:
             return None
-        metrics = found[:, [distinct.index(s) for s in settings]]
         average = metrics.mean(axis=0)
         best = estimator.fit(kept, maps[int(np.argmax(average))])
     finally:
@@ -197,6 +206,35 @@ def _tune_bayes(
     return CrossValidatorModel(best, avgMetrics=average.tolist(), stdMetrics=metrics.std(axis=0).tolist())
 
 
+def _per_setting(settings: list[tuple], measured: Callable) -> np.ndarray | None:
+    """The columns of ``measured`` for the distinct ones of ``settings``, for all of them."""
+    distinct = list(dict.fromkeys(settings))
+    found = measured(distinct)
+    return None if found is None else found[:, [distinct.index(s) for s in settings]]
+
+
+def _bayes_metrics(estimator: Pipeline, maps: list[dict], folded: DataFrame, search: Search):
+    scaler, _, classifier = estimator.getStages()
+    settings = [
+        (float(m.get(scaler.max, scaler.getMax())), float(m.get(classifier.smoothing, classifier.getSmoothing())))
+        for m in maps
+    ]
+    return _per_setting(
+        settings, lambda some: bayes_search.fold_metrics(folded, search.folds, some, search.metric)
+    )
+
+
+def _margin_metrics(estimator: LinearSVC, maps: list[dict], folded: DataFrame, search: Search):
+    settings = [
+        (float(m.get(estimator.regParam, estimator.getRegParam())), float(m.get(estimator.tol, estimator.getTol())))
+        for m in maps
+    ]
+    limit = estimator.getMaxIter()
+    return _per_setting(
+        settings, lambda some: margin_search.fold_metrics(folded, search.folds, some, search.metric, limit)
+    )
+
+
 def describe_params(model: Model) -> str:
     """Settings of a fitted model, sorted; those of a pipeline carry their stage's uid."""
     if isinstance(model, PipelineModel):

@@ -1,15 +1,17 @@
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import registry
-from lendspark.operators import evaluation, training
+from lendspark.operators import bayes_search, blocks, evaluation, margin_search, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
 from lendspark.plans import modelling
 from lendspark.session import checkpoint_root
@@ -101,6 +103,37 @@ def test_shared_statistics_score_as_fits_do(data, spark):
     assert shared.bestModel.stages[-1].getSmoothing() == fits.bestModel.stages[-1].getSmoothing()
 
 
+def test_margins_of_all_combinations_are_fitted_by_the_same_passes(data, spark):
+    """As low a loss as Spark's own fits reach, in far fewer jobs than there are fits."""
+    train = training.spread(data.train_balanced).persist()
+    folded = bayes_search.random_folds(train, 3, 1).persist()
+    settings = [(0.001, 1e-6), (0.1, 1e-6), (0.1, 1e-4)]
+    parts = margin_search.training_parts(folded, 3)
+    packed = blocks.feature_blocks(folded).persist()
+    models = margin_search.fitted(packed, parts, settings, 100)
+    for k, (penalty, tol) in enumerate(settings):
+        part = folded.where("fold <> 1")
+        own = LinearSVC(regParam=penalty, tol=tol).fit(part).summary().objectiveHistory[-1]
+        weights = models[1, k]
+        sums = margin_search.hinge_sums(packed, models[1, k : k + 1], np.array([1]))[0]
+        scaled = np.divide(weights[:-1], parts[1].scale, out=np.zeros(len(weights) - 1), where=parts[1].scale > 0)
+        assert parts[1].count == part.count()
+        assert sums[-1] / parts[1].count + penalty / 2 * (scaled @ scaled) <= own + 1e-3 * (tol / 1e-6) ** 0.25
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("margins", "margins")
+    found = training.tune(LINEAR_SVC, data.train_balanced, Search(training.SEARCH_GRIDS[LINEAR_SVC]))
+    # 81 fits of up to a hundred steps each would be thousands.
+    assert len(tracker.getJobIdsForGroup("margins")) < 600
+    averages = np.array(found.avgMetrics).reshape(3, 3, 3)
+    assert (averages == averages[:, :, :1]).all() and (averages > 0.4).all()
+
+
+def test_rows_of_few_files_are_spread(data, spark):
+    frame = training.spread(data.train_balanced.coalesce(1))
+    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert frame.count() == data.train_balanced.count()
+
+
 def test_a_training_part_without_a_class_is_left_to_fits(data, spark):
     few = data.train_balanced.where("label = 1.0").limit(6)
     from lendspark.operators import bayes_search
