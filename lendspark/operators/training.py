@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lendspark.constants import CV_FOLDS, CV_METRIC, CV_PARALLELISM, SEED
 from lendspark.functions.measures import millionths
-from lendspark.operators import bayes_search, margin_search
+from lendspark.operators import bayes_search, forest_search, margin_search
 
 RANDOM_FOREST = "RandomForest"
 LINEAR_SVC = "LinearSVC"
@@ -138,8 +138,9 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
     """Search the whole grid on the training rows alone and refit the best on all of them.
 
     All combinations of naive Bayes are scored from shared statistics, see
-    :mod:`lendspark.operators.bayes_search`, and all linear SVC are fitted by the same passes,
-    see :mod:`lendspark.operators.margin_search`; random forests fit each combination.
+    :mod:`lendspark.operators.bayes_search`; all linear SVC are fitted by the same passes, see
+    :mod:`lendspark.operators.margin_search`; and smaller random forests are parts of larger
+    ones, see :mod:`lendspark.operators.forest_search`.
     """
     search = search or Search(SEARCH_GRIDS[family])
     estimator = search_estimator(family)
@@ -148,6 +149,8 @@ def tune(family: str, train: DataFrame, search: Search | None = None) -> CrossVa
         found = _tune_together(estimator, train, search, _bayes_metrics)
     if family == LINEAR_SVC and set(search.grid) <= margin_search.KNOWN:
         found = _tune_together(estimator, train, search, _margin_metrics)
+    if family == RANDOM_FOREST and set(search.grid) <= forest_search.KNOWN:
+        found = _tune_together(estimator, train, search, _forest_metrics)
     return found or tune_by_fits(estimator, train, search)
 
 
@@ -235,6 +238,14 @@ def _margin_metrics(estimator: LinearSVC, maps: list[dict], folded: DataFrame, s
     )
 
 
+def _forest_metrics(estimator: RandomForestClassifier, maps: list[dict], folded: DataFrame, search: Search):
+    params = (estimator.numTrees, estimator.maxDepth, estimator.minInstancesPerNode)
+    settings = [tuple(m.get(param, estimator.getOrDefault(param)) for param in params) for m in maps]
+    return _per_setting(
+        settings, lambda some: forest_search.fold_metrics(folded, search.folds, some, search.metric, estimator)
+    )
+
+
 def describe_params(model: Model) -> str:
     """Settings of a fitted model, sorted; those of a pipeline carry their stage's uid."""
     if isinstance(model, PipelineModel):

@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import registry
-from lendspark.operators import bayes_search, blocks, evaluation, margin_search, training
+from lendspark.operators import bayes_search, blocks, evaluation, forest_search, margin_search, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
 from lendspark.plans import modelling
 from lendspark.session import checkpoint_root
@@ -128,6 +128,29 @@ def test_margins_of_all_combinations_are_fitted_by_the_same_passes(data, spark):
     assert (averages == averages[:, :, :1]).all() and (averages > 0.4).all()
 
 
+def test_smaller_forests_are_parts_of_larger_ones(data, spark):
+    rows = data.train_encoded.select("features", F.monotonically_increasing_id().alias("id"), "label").persist()
+    x = np.array([row["features"].toArray() for row in rows.orderBy("id").select("features").collect()])
+    for depth in (3, 7):
+        model = training.search_estimator(RANDOM_FOREST).setNumTrees(8).setMaxDepth(depth).fit(rows)
+        grown = forest_search.trees(spark, model)
+        raw = [row["rawPrediction"][1] for row in model.transform(rows).orderBy("id").select("rawPrediction").collect()]
+        assert sum(tree.shares(x, tree.cut(depth)) for tree in grown) == pytest.approx(np.array(raw), abs=1e-9)
+    # The first level needs no draws of later ones: cut trees split as they do whole.
+    stumps = [tree.cut(1) for tree in grown]
+    assert all(leaf.sum() >= 1 and len(set(tree.shares(x, leaf))) <= 2 for tree, leaf in zip(grown, stumps))
+    grid = {"numTrees": [3, 6], "maxDepth": [2, 4], "minInstancesPerNode": [5, 10]}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("parts", "parts")
+    found = training.tune(RANDOM_FOREST, data.train_balanced, Search(grid, folds=2))
+    jobs = len(tracker.getJobIdsForGroup("parts"))
+    spark.sparkContext.setJobGroup("each", "each")
+    each = training.tune_by_fits(training.search_estimator(RANDOM_FOREST), data.train_balanced, Search(grid, folds=2))
+    assert jobs < len(tracker.getJobIdsForGroup("each")) / 1.5
+    assert len(found.avgMetrics) == 8
+    assert np.array(found.avgMetrics) == pytest.approx(np.array(each.avgMetrics), abs=0.05)
+
+
 def test_rows_of_few_files_are_spread(data, spark):
     frame = training.spread(data.train_balanced.coalesce(1))
     assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
