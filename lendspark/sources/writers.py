@@ -14,14 +14,20 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
+# Rows that one range of a snapshot holds, about.
+RANGE_ROWS = 1 << 20
+
+
 def snapshot(df: DataFrame, path: str, key: str = "id", splits: int | None = None) -> None:
     """Parquet copy in key ranges, so that files prune on the key.
 
-    ``splits`` fixes the number of files; left out, Spark sizes them.
+    ``splits`` is the number of files, but for tables that need more to keep each range to
+    about ``RANGE_ROWS`` rows; left out, Spark sizes them.
     """
-    ranges = (
-        df.repartitionByRange(key) if splits is None else df.repartitionByRange(splits, key)
-    )
+    if splits is None:
+        ranges = df.repartitionByRange(key)
+    else:
+        ranges = df.repartitionByRange(max(splits, -(-df.count() // RANGE_ROWS)), key)
     write_parquet(ranges, path)
 
 

@@ -62,6 +62,14 @@ def test_read_source_by_name_and_by_path(spark, tmp_path):
     assert readers.read_source(spark, f"file:{path}").count() == 3
 
 
+def test_large_snapshots_get_more_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "RANGE_ROWS", 100)
+    path = str(tmp_path / "large")
+    writers.snapshot(spark.range(1000).repartition(7), path, splits=4)
+    assert len(list(Path(path).glob("*.parquet"))) == 10
+    assert spark.read.parquet(path).count() == 1000
+
+
 def test_snapshot_writes_ranges(spark, tmp_path):
     path = str(tmp_path / "s")
     writers.snapshot(spark.range(1000).repartition(7), path, splits=4)
