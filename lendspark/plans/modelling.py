@@ -89,7 +89,9 @@ def build_training_data(
         write_parquet(df, path)
         return spark.read.parquet(path)
 
-    prepared = stored(prep.prepare_rows(loans), "prepared")
+    # Later steps move no rows, so their tasks are as many as the files of this one.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    prepared = stored(prep.prepare_rows(loans).repartition(parts, "id"), "prepared")
     train, test = prep.temporal_split(prepared, cutoff, min_train_share)
     train_raw, test_raw = stored(train, "train_raw"), stored(test, "test_raw")
     train_filled, test_filled = prep.impute_modes(

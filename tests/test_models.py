@@ -151,6 +151,11 @@ def test_smaller_forests_are_parts_of_larger_ones(data, spark):
     assert np.array(found.avgMetrics) == pytest.approx(np.array(each.avgMetrics), abs=0.05)
 
 
+def test_training_data_lies_in_files_for_all_tasks(data, spark):
+    for frame in (data.prepared, data.train_raw, data.train_balanced, data.test_encoded):
+        assert len(frame.inputFiles()) >= spark.sparkContext.defaultParallelism
+
+
 def test_rows_of_few_files_are_spread(data, spark):
     frame = training.spread(data.train_balanced.coalesce(1))
     assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
