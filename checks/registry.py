@@ -52,7 +52,7 @@ from lendspark.plans.modelling import (
     save_artifacts,
 )
 from lendspark.plans.reporting import publish_reports
-from lendspark.session import scratch_path
+from lendspark.session import compile_wide_rows, scratch_path
 from lendspark.sources import catalog, readers, versions, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,7 @@ def forget_models() -> None:
 
 def write_raw_csv(spark, sf_dir) -> str:
     path = scratch_path(spark, "raw-csv")
+    compile_wide_rows(spark)
     fx.loans_raw(spark, sf_dir).write.csv(
         path,
         header=True,

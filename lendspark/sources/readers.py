@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendspark.constants import LOAN_COLUMNS
+from lendspark.session import compile_wide_rows
 from lendspark.sources import split_csv
 
 
@@ -51,6 +52,7 @@ def read_raw_csv(
     breaks, and a record that is not complete on its line fails the read.
     """
     columns = list(columns)
+    compile_wide_rows(spark)
     options = {"header": True, **split_csv.OPTIONS}
     if multi_line:
         records = split_csv.whole_records(spark, path)

@@ -76,18 +76,14 @@ def _turns(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return opens, stays
 
 
-def _after(within: bool, opens: np.ndarray, stays: np.ndarray) -> tuple[bool, bool]:
-    """Whether lines end within quotes, and whether the state ever changes on the way."""
-    at, changed = 0, False
-    opening, closing = np.flatnonzero(opens), np.flatnonzero(~stays)
-    while True:
-        turns = closing if within else opening
-        k = np.searchsorted(turns, at)
-        if k == len(turns):
-            return within, changed
-        at, changed = turns[k] + 1, True
-        # A line that closes may open again.
-        within = bool(opens[at - 1]) if not within else bool(stays[at - 1])
+def _after(within: bool, opens: np.ndarray, stays: np.ndarray) -> np.ndarray:
+    """Per line, whether it ends within quotes, if the first begins so or not."""
+    # Some lines end the same way from either beginning; those after only keep or turn that.
+    settled = np.maximum.accumulate(np.where(opens == stays, np.arange(len(opens)), -1))
+    turned = np.cumsum(opens & ~stays)
+    known = settled >= 0
+    base = np.where(known, opens[settled], within)
+    return base ^ ((turned - np.where(known, turned[settled], 0)) % 2 == 1)
 
 
 def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +94,9 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = rows.setdefault((file, split), [False, False, False, True])
             opens, stays = _turns(batch.column(2).slice(first, end - first))
             for k, start in ((0, state[1]), (2, state[3])):
-                state[k + 1], changed = _after(start, opens, stays)
-                state[k] = state[k] or changed
+                after = _after(start, opens, stays)
+                state[k + 1] = bool(after[-1])
+                state[k] = state[k] or bool((after != start).any())
     keys = list(rows)
     columns = [*zip(*keys), *zip(*rows.values())] if keys else [[]] * 6
     kinds = [pa.int64()] * 2 + [pa.bool_()] * 4
@@ -137,68 +134,56 @@ class _Assembly:
     def __init__(self, file: int, split: int, within: bool, opener: int):
         self.key, self.within, self.opener = (file, split), within, opener
         self.head_due = split == 0
-        self.held: list[bytes] = []
+        #: Lines of a record that is not complete yet.
+        self.held: list[pa.Array] = []
 
-    def piece(self, records: pa.Array, whole: bool) -> pa.RecordBatch:
-        n = len(records)
-        head = np.zeros(n, bool)
-        if n and self.head_due and self.opener < 0:
-            head[0], self.head_due = True, False
+    def pieces(self, records: pa.Array, complete: bool) -> pa.RecordBatch:
+        """Records, of which the first may be a part of one that began before."""
         file, split = self.key
-        opener = split if self.opener < 0 else self.opener
+        opener, whole = np.full(len(records), split), np.full(len(records), complete)
+        if self.opener >= 0:
+            opener[0], whole[0], self.opener = self.opener, False, -1
+        # Lines between records that are empty are none.
+        length = pc.binary_length(records)
+        empty = pc.or_(pc.equal(length, 0), pc.equal(records, pa.scalar(b"\r", pa.binary())))
+        kept = ~whole | ~np.asarray(empty.to_numpy(zero_copy_only=False), bool)
+        head = np.zeros(len(records), bool)
+        if self.head_due and kept.any():
+            head[kept.argmax()], self.head_due = True, False
+        n = int(kept.sum())
         return pa.record_batch(
             [
                 pa.array(np.full(n, file)),
                 pa.array(np.full(n, split)),
-                pa.array(np.full(n, opener)),
-                pa.array(np.full(n, whole)),
-                pa.array(head),
-                records,
+                pa.array(opener[kept]),
+                pa.array(whole[kept]),
+                pa.array(head[kept]),
+                records.filter(pa.array(kept)),
             ],
             names=["file", "split", "opener", "whole", "head", "record"],
         )
 
-    def closed(self) -> pa.RecordBatch:
-        """What is held, as a record, or as the last part of one that began before."""
-        record = pa.array([b"\n".join(self.held)], pa.binary())
-        self.held = []
-        out = self.piece(record, whole=self.opener < 0)
-        self.opener = -1
-        return out
-
-    def plain(self, lines: pa.Array) -> pa.RecordBatch:
-        """Lines that are records; empty ones are none."""
-        length = pc.binary_length(lines)
-        empty = pc.or_(pc.equal(length, 0), pc.equal(lines, pa.scalar(b"\r", pa.binary())))
-        return self.piece(lines.filter(pc.invert(empty)), whole=True)
-
     def take(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
-        opens, stays = _turns(lines)
-        opening, closing = np.flatnonzero(opens), np.flatnonzero(~stays)
-        at = 0
-        while at < len(lines):
-            turns = closing if self.within else opening
-            k = np.searchsorted(turns, at)
-            turn = int(turns[k]) if k < len(turns) else None
-            if self.within:
-                stop = len(lines) if turn is None else turn + 1
-                self.held += lines.slice(at, stop - at).to_pylist()
-                if turn is not None:
-                    yield self.closed()
-                    self.within = False
-            else:
-                stop = len(lines) if turn is None else turn
-                if stop > at:
-                    yield self.plain(lines.slice(at, stop - at))
-                if turn is not None:
-                    self.held.append(lines[turn].as_py())
-                    self.within, stop = True, turn + 1
-            at = stop
+        after = _after(self.within, *_turns(lines))
+        self.within = bool(after[-1])
+        ends = np.flatnonzero(~after) + 1
+        if len(ends):
+            before, last = sum(map(len, self.held)), int(ends[-1])
+            offsets = np.concatenate([[0], before + ends]).astype(np.int32)
+            yield self.pieces(_joined([*self.held, lines.slice(0, last)], offsets), complete=True)
+            self.held, lines = [], lines.slice(last)
+        if len(lines):
+            self.held.append(lines)
 
     def end(self) -> Iterator[pa.RecordBatch]:
         if self.held:
-            record = pa.array([b"\n".join(self.held)], pa.binary())
-            yield self.piece(record, whole=False)
+            offsets = np.array([0, sum(map(len, self.held))], np.int32)
+            yield self.pieces(_joined(self.held, offsets), complete=False)
+
+
+def _joined(lines: list[pa.Array], offsets: np.ndarray) -> pa.Array:
+    """One record from the lines between each two offsets."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pa.concat_arrays(lines)), b"\n")
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,9 +240,10 @@ def whole_records(spark: SparkSession, path: str) -> DataFrame | None:
     """``head, record``: the records of headered files and which of them are headers; None
     if every line is a record, so that Spark can split the files by itself."""
     lines = _lines(spark, path)
-    blank = F.trim(F.regexp_replace(F.col("line").cast("string"), "\r$", "")) == ""
+    text = F.col("line").cast("string")
+    blank = F.btrim(text, F.lit(" \r")) == ""
     # Spark's split reading drops lines of blanks, and also cuts at carriage returns.
-    inner_return = F.instr(F.col("line").cast("string"), "\r").between(1, F.octet_length("line") - 1)
+    inner_return = F.instr(text, "\r").between(1, F.octet_length("line") - 1)
     odd = (blank & (F.octet_length("line") > 1)) | inner_return
     splits_path = scratch_path(spark, "csv-splits")
     (

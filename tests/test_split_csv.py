@@ -118,3 +118,32 @@ def test_the_scan_over_splits(spark):
         [1, 20, True, True, 0],
         [1, 30, True, False, 20],
     ]
+
+
+def test_states_after_lines():
+    """As one line after another gives them."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 30):
+        for within in (False, True):
+            opens, stays = rng.random((2, n)) < [[0.3], [0.7]]
+            state, expected = within, []
+            for k in range(n):
+                state = bool(stays[k] if state else opens[k])
+                expected.append(state)
+            assert split_csv._after(within, opens, stays).tolist() == expected
+
+
+def test_records_of_many_lines_leave_in_few_batches():
+    lines = [x.encode() for k in range(500) for x in (f'{k},"one', 'two"', f"{k},plain", "")]
+    n = len(lines)
+    batch = pa.record_batch(
+        [pa.array([1] * n), pa.array([0] * n), pa.array(lines, pa.binary()), pa.array([False] * n), pa.array([-1] * n)],
+        names=["file", "split", "line", "begins_within", "opener"],
+    )
+    found = list(split_csv._assemble(iter([batch])))
+    assert len(found) == 1
+    assert found[0].num_rows == 1000 and all(found[0].column("whole").to_pylist())
+    assert found[0].column("record").to_pylist()[:3] == [b'0,"one\ntwo"', b"0,plain", b'1,"one\ntwo"']
+    assert found[0].column("head").to_pylist().index(True) == 0
