@@ -54,7 +54,11 @@ def tag_loans(raw: DataFrame) -> DataFrame:
 
 def clean_loans(raw: DataFrame) -> DataFrame:
     """The typed rows that pass, in the canonical column order."""
-    return tag_loans(raw).where(F.col("reject_reason").isNull()).select(*LOAN_COLUMNS)
+    tagged = tag_loans(raw)
+    # A filter on generated columns stays above them; others go below, where each column they
+    # use is parsed out of its record again.
+    rows = tagged.select(F.inline(F.array(F.struct(*tagged.columns))))
+    return rows.where(F.col("reject_reason").isNull()).select(*LOAN_COLUMNS)
 
 
 def clean_report(raw: DataFrame) -> DataFrame:

@@ -148,3 +148,15 @@ def test_enforce(spark):
     assert caught.value.counts == {"positive": 2, "ordered": 2, "id_not_null": 1, "id_unique": 1}
     fine = checked(spark).where("id = 1")
     assert validation.enforce(fine, RULES) is fine
+
+
+def test_fields_of_a_record_are_parsed_once(spark, tmp_path):
+    """The filter does not have each record taken apart again for every column it uses."""
+    from lendspark.sources import readers
+
+    file = tmp_path / "raw.csv"
+    file.write_text(",".join(LOAN_COLUMNS) + '\n7,"two\nlines"' + "," * (len(LOAN_COLUMNS) - 2) + "\n")
+    cleaned = cleaning.clean_loans(readers.read_raw_csv(spark, str(file)))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert [row["id"] for row in cleaned.collect()] == [7]
