@@ -19,11 +19,16 @@ import regex
 REMEMBERED = 1_000_000
 # Stretches that are encoded in one go.
 TOGETHER = 4096
-WORD_AND_MARKS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,;:!?)\"]+)")
+WORD_AND_MARKS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-&(-/:-@[-`{-~]+)")
 # What is outside may be treated differently by two engines' character tables.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
-# A blank between two such characters starts a piece in byte-level cutting.
-BETWEEN_PIECES = re.compile("(?<=[!-~\xa1-\xac\xae-\u024f]) (?=[!-~\xa1-\xac\xae-\u024f])")
+# A blank between two such characters starts a piece in byte-level cutting. The pattern begins
+# with the blank, so that only blanks are looked at.
+BETWEEN_PIECES = re.compile(" (?<=[!-~\xa1-\xac\xae-\u024f] )(?=[!-~\xa1-\xac\xae-\u024f])")
+# How byte-level cutting goes on within a stretch.
+PIECES = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -61,6 +66,7 @@ class Tokenizer:
         self.mark = next((t for t in layout["added_tokens"] if t["special"] and not t["normalized"]), None)
         self.merge = self.file.model.tokenize
         self.known: dict[str, bytes] = {}
+        # Pieces without a blank before them.
         self.marks: dict[str, bytes] = {}
 
     @staticmethod
@@ -107,7 +113,35 @@ class Tokenizer:
             known = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return known
 
+    def _merged(self, piece: str) -> bytes:
+        if not piece.isascii() or not piece.isalnum():
+            piece = piece.encode().decode("latin-1").translate(ALPHABET)
+        ids = [token.id for token in self.merge(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, stretches: list[str]) -> None:
+        """Remember stretches, cut into pieces that are merged one by one."""
+        known, marks, blank = self.known, self.marks, chr(ALPHABET[0x20])
+        special = self.mark["content"] if self.mark else None
+        whole = []
+        for stretch in stretches:
+            if stretch.isascii() and stretch.isalpha():
+                ids = [token.id for token in self.merge(blank + stretch)]
+                known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
+            elif UNUSUAL.search(stretch) or (special and special in stretch):
+                whole.append(stretch)
+            elif stretch.isalpha():
+                known[stretch] = self._merged(" " + stretch)
+            else:
+                first, *others = PIECES.findall(" " + stretch)
+                for piece in others:
+                    if piece not in marks:
+                        marks[piece] = self._merged(piece)
+                known[stretch] = self._merged(first) + b"".join([marks[piece] for piece in others])
+        for at in range(0, len(whole), TOGETHER):
+            self._learn_whole(whole[at : at + TOGETHER])
+
+    def _learn_whole(self, stretches: list[str]) -> None:
         """Remember stretches, encoded in one go with a special token between them."""
         mark = self.mark["content"] if self.mark and not self.file.encode_special_tokens else None
         if mark is None or any(mark in x for x in stretches):
@@ -123,25 +157,23 @@ class Tokenizer:
 
     def _by_stretches(self, texts: list[str]) -> list[bytes]:
         """Texts as stretches, of which all but the first of a text begin with a blank."""
-        if len(self.known) > REMEMBERED:
+        if max(len(self.known), len(self.marks)) > REMEMBERED:
             self.known.clear()
             self.marks.clear()
         known, cut = self.known, [BETWEEN_PIECES.split(text) for text in texts]
-        missing = {x for first, *rest in cut for x in rest}.difference(known)
+        starts = [stretches.pop(0) for stretches in cut]
+        missing = set().union(*cut).difference(known)
         # A word with marks at its end is the word and the marks.
         marked = [m.group(0, 1, 2) for m in map(WORD_AND_MARKS.fullmatch, missing) if m]
         missing.difference_update([whole for whole, _, _ in marked])
         missing.update(word for _, word, _ in marked if word not in known)
-        unknown = list(missing)
-        for at in range(0, len(unknown), TOGETHER):
-            self._learn(unknown[at : at + TOGETHER])
+        self._learn(list(missing))
         ends = {marks for _, _, marks in marked}.difference(self.marks)
         self.marks.update(zip(ends, self._packed(list(ends))))
         for whole, word, marks in marked:
             known[whole] = known[word] + self.marks[marks]
-        firsts = self._packed([first for first, *_ in cut])
         lookup = known.__getitem__
-        return [first + b"".join(map(lookup, rest)) for first, (_, *rest) in zip(firsts, cut)]
+        return [first + b"".join(map(lookup, rest)) for first, rest in zip(self._packed(starts), cut)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.stretches:

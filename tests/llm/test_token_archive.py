@@ -115,3 +115,21 @@ def test_files_are_in_order_and_self_contained(spark):
         last = index["doc_id"][-1]
         assert (len(index), int(index["n_ids"].sum())) == (r["documents"], r["ids"])
         assert system.get_file_info(f"{root}/{r['file']}").size == r["bytes"]
+
+
+def test_usual_stretches_are_merged_without_the_file():
+    """Only the beginnings of texts, marks and unusual characters go through the whole tokenizer."""
+    import numpy as np
+    import public_tokenizers
+    from lendspark.llm.tokens import Tokenizer
+
+    file = Tokenizer(str(public_tokenizers.path("byte_bpe_50k.json")))
+    sent, packed = [], file._packed
+    file._packed = lambda texts: sent.extend(texts) or packed(texts)
+    texts = ["The W\u00f6rter, it's so.\nNext 12%%% x,y &&& \u00fcnd---\n\n End<|", "", "one 3rd's  two\t'll\n"]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in file.encode(texts)]
+    assert found == [file.file.encode(text, add_special_tokens=False).ids for text in texts]
+    assert not any(" " in part for part in sent if part not in texts)
+    odd = ["see \u4e2d\u6587 it", "so <|endoftext|>x it"]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in file.encode(odd)]
+    assert found == [file.file.encode(text, add_special_tokens=False).ids for text in odd]
