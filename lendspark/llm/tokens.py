@@ -9,7 +9,10 @@ import json
 import os
 import re
 import struct
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 from unicodedata import is_normalized
 
 import numpy as np
@@ -19,12 +22,16 @@ import regex
 REMEMBERED = 1_000_000
 # Stretches that are encoded in one go.
 TOGETHER = 4096
-WORD_AND_MARKS = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-&(-/:-@[-`{-~]+)")
+# A word with marks at its end, or with a line feed before it.
+WORD_AND_MARKS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([!-&(-/:-@[-`{-~]*)")
 # What is outside may be treated differently by two engines' character tables.
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-\u024f]")
-# A blank between two such characters starts a piece in byte-level cutting. The pattern begins
-# with the blank, so that only blanks are looked at.
-BETWEEN_PIECES = re.compile(" (?<=[!-~\xa1-\xac\xae-\u024f] )(?=[!-~\xa1-\xac\xae-\u024f])")
+# Between two such characters a single blank starts a piece in byte-level cutting, and a single
+# line feed is one. The pattern begins with the blank, so that only blanks are looked at.
+VISIBLE = "!-~\xa1-\xac\xae-\u024f"
+BETWEEN_PIECES = re.compile(f" (?<=[{VISIBLE}] )(?=[{VISIBLE}])")
+BOUNDED = re.compile(f"\n?[{VISIBLE}](?:.*[{VISIBLE}])?", re.DOTALL)
+BOUNDED_END = re.compile(f"(?:.*[{VISIBLE}])?", re.DOTALL)
 # How byte-level cutting goes on within a stretch.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -42,6 +49,9 @@ def _byte_alphabet() -> dict[int, int]:
 
 
 ALPHABET = _byte_alphabet()
+# The same as a table. The zero byte stays, to stand between pieces.
+LETTERS = np.array([ALPHABET.get(byte, byte) for byte in range(256)], "<u4")
+LETTERS[0] = 0
 
 
 class Tokenizer:
@@ -65,9 +75,15 @@ class Tokenizer:
         self.stretches = self._cut_at_blanks(layout)
         self.mark = next((t for t in layout["added_tokens"] if t["special"] and not t["normalized"]), None)
         self.merge = self.file.model.tokenize
+        if self.stretches:
+            # What is merged here is remembered here, so a model that remembers nothing is faster.
+            merging = File.from_file(path).model
+            merging._resize_cache(0)
+            self.merge = merging.tokenize
         self.known: dict[str, bytes] = {}
-        # Pieces without a blank before them.
-        self.marks: dict[str, bytes] = {}
+        # Stretches of texts with other white space than single blanks and line feeds.
+        self.spaced: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def _cut_at_blanks(layout: dict) -> bool:
@@ -77,7 +93,7 @@ class Tokenizer:
             and cutting.get("type") == "ByteLevel"
             and not cutting["add_prefix_space"]
             and cutting["use_regex"]
-            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in layout["added_tokens"])
+            and not any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in layout["added_tokens"])
         )
 
     @staticmethod
@@ -113,67 +129,106 @@ class Tokenizer:
             known = self.known[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return known
 
-    def _merged(self, piece: str) -> bytes:
-        if not piece.isascii() or not piece.isalnum():
-            piece = piece.encode().decode("latin-1").translate(ALPHABET)
-        ids = [token.id for token in self.merge(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces without unusual characters, each merged by itself."""
+        if not pieces:
+            return []
+        letters = LETTERS[np.frombuffer("\0".join(pieces).encode(), np.uint8)]
+        merge, pack = self.merge, struct.pack
+        found = ([token.id for token in merge(piece)] for piece in letters.tobytes().decode("utf-32-le").split("\0"))
+        return [pack(f"<{len(ids)}I", *ids) for ids in found]
+
+    def _learn(self, stretches: Iterable[str], known: dict[str, bytes], any_bounds: bool) -> set[str]:
+        """Remember stretches, cut into pieces that are merged one by one.
 
-    def _learn(self, stretches: list[str]) -> None:
-        """Remember stretches, cut into pieces that are merged one by one."""
-        known, marks, blank = self.known, self.marks, chr(ALPHABET[0x20])
+        Returns those whose ends may belong to pieces that go on, unless they may have any.
+        """
         special = self.mark["content"] if self.mark else None
-        whole = []
+        words, marked, others, whole, unbounded = set(), [], [], [], set()
         for stretch in stretches:
             if stretch.isascii() and stretch.isalpha():
-                ids = [token.id for token in self.merge(blank + stretch)]
-                known[stretch] = struct.pack(f"<{len(ids)}I", *ids)
-            elif UNUSUAL.search(stretch) or (special and special in stretch):
+                words.add(stretch)
+            elif special and special in stretch:
+                whole.append(stretch)
+            elif match := WORD_AND_MARKS.fullmatch(stretch):
+                marked.append((stretch, *match.groups()))
+            elif not any_bounds and not BOUNDED.fullmatch(stretch):
+                unbounded.add(stretch)
+            elif UNUSUAL.search(stretch):
                 whole.append(stretch)
-            elif stretch.isalpha():
-                known[stretch] = self._merged(" " + stretch)
             else:
-                first, *others = PIECES.findall(" " + stretch)
-                for piece in others:
-                    if piece not in marks:
-                        marks[piece] = self._merged(piece)
-                known[stretch] = self._merged(first) + b"".join([marks[piece] for piece in others])
+                others.append((stretch, PIECES.findall(self._with_blank(stretch))))
+        words.update(word for _, feed, word, _ in marked if not feed and word not in known)
+        known.update(zip(words, self._merged([" " + word for word in words])))
+
+        pieces, parts = self.pieces, {"\n"}
+        for _, feed, word, marks in marked:
+            parts.update((word, marks) if feed else (marks,))
+        for _, cut in others:
+            parts.update(cut)
+        new = [part for part in parts if part not in pieces]
+        pieces.update(zip(new, self._merged(new)))
+        for stretch, feed, word, marks in marked:
+            known[stretch] = (pieces[feed] + pieces[word] if feed else known[word]) + pieces[marks]
+        for stretch, cut in others:
+            known[stretch] = b"".join([pieces[part] for part in cut])
         for at in range(0, len(whole), TOGETHER):
-            self._learn_whole(whole[at : at + TOGETHER])
+            self._learn_whole(whole[at : at + TOGETHER], known)
+        return unbounded
 
-    def _learn_whole(self, stretches: list[str]) -> None:
+    @staticmethod
+    def _with_blank(stretch: str) -> str:
+        return stretch if stretch.startswith("\n") else " " + stretch
+
+    def _learn_whole(self, stretches: list[str], known: dict[str, bytes]) -> None:
         """Remember stretches, encoded in one go with a special token between them."""
         mark = self.mark["content"] if self.mark and not self.file.encode_special_tokens else None
         if mark is None or any(mark in x for x in stretches):
-            self.known.update(zip(stretches, self._packed([" " + x for x in stretches])))
+            known.update(zip(stretches, self._packed(list(map(self._with_blank, stretches)))))
             return
-        (packed,) = self._packed([mark.join([" " + x for x in stretches])])
+        (packed,) = self._packed([mark.join(map(self._with_blank, stretches))])
         ids = np.frombuffer(packed, "<u4")
         ends = np.append(np.flatnonzero(ids == self.mark["id"]), len(ids)).tolist()
         begin = 0
         for stretch, end in zip(stretches, ends, strict=True):
-            self.known[stretch] = packed[4 * begin : 4 * end]
+            known[stretch] = packed[4 * begin : 4 * end]
             begin = end + 1
 
     def _by_stretches(self, texts: list[str]) -> list[bytes]:
-        """Texts as stretches, of which all but the first of a text begin with a blank."""
-        if max(len(self.known), len(self.marks)) > REMEMBERED:
+        """Texts as stretches, of which all but the first of a text begin with a blank or,
+        as it is written then, a line feed. Texts with other white space are cut at less."""
+        if max(len(self.known), len(self.spaced), len(self.pieces)) > REMEMBERED:
             self.known.clear()
-            self.marks.clear()
-        known, cut = self.known, [BETWEEN_PIECES.split(text) for text in texts]
+            self.spaced.clear()
+            self.pieces = {"": b""}
+        cut = [text.replace("\n", " \n").split(" ") for text in texts]
         starts = [stretches.pop(0) for stretches in cut]
-        missing = set().union(*cut).difference(known)
-        # A word with marks at its end is the word and the marks.
-        marked = [m.group(0, 1, 2) for m in map(WORD_AND_MARKS.fullmatch, missing) if m]
-        missing.difference_update([whole for whole, _, _ in marked])
-        missing.update(word for _, word, _ in marked if word not in known)
-        self._learn(list(missing))
-        ends = {marks for _, _, marks in marked}.difference(self.marks)
-        self.marks.update(zip(ends, self._packed(list(ends))))
-        for whole, word, marks in marked:
-            known[whole] = known[word] + self.marks[marks]
-        lookup = known.__getitem__
-        return [first + b"".join(map(lookup, rest)) for first, rest in zip(self._packed(starts), cut)]
+        found, unbounded = self._look_up(cut, self.known, any_bounds=False)
+        again = [
+            i
+            for i, (start, rest) in enumerate(zip(starts, cut))
+            if not BOUNDED_END.fullmatch(start) or (unbounded and not unbounded.isdisjoint(rest))
+        ]
+        for i in again:
+            starts[i], *cut[i] = BETWEEN_PIECES.split(texts[i])
+        less_cut, _ = self._look_up([cut[i] for i in again], self.spaced, any_bounds=True)
+        for i, ids in zip(again, less_cut):
+            found[i] = ids
+        return [start + b"".join(ids) for start, ids in zip(self._packed(starts), found)]
+
+    def _look_up(
+        self, cut: list[list[str]], known: dict[str, bytes], any_bounds: bool
+    ) -> tuple[list[list[bytes]], set[str]]:
+        """Ids of each stretch, none for those that ``_learn`` returns, and these."""
+        found = [list(map(known.get, stretches)) for stretches in cut]
+        missing = set()
+        for stretches, ids in zip(cut, found):
+            missing.update(compress(stretches, map(not_, ids)))
+        unbounded = self._learn(missing, known, any_bounds)
+        return [
+            [known.get(stretch, b"") if ids is None else ids for stretch, ids in zip(stretches, each)]
+            for stretches, each in zip(cut, found)
+        ], unbounded
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.stretches:

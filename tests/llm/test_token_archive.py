@@ -133,3 +133,22 @@ def test_usual_stretches_are_merged_without_the_file():
     odd = ["see \u4e2d\u6587 it", "so <|endoftext|>x it"]
     found = [np.frombuffer(ids, "<u4").tolist() for ids in file.encode(odd)]
     assert found == [file.file.encode(text, add_special_tokens=False).ids for text in odd]
+
+
+def test_words_at_line_ends_and_starts_are_known_by_themselves():
+    fast = Fast(VOCABULARY)
+    texts = ["So it is.\nThe end, and\nso on.\n12 of\n\xc9t\xe9 \"a\"", "is.\nThe on\nso", "\nThe \nis", "a\n\nb is.\nThe", "a \tb\t c"]
+    expected = [np.asarray(PLAIN.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert fast.encode(texts) == expected == fast.encode(texts)
+    assert {"is.", "\nThe", "on.", "\n12"} <= set(fast.known)
+    assert not any("\n" in stretch[1:] or stretch[-1:].isspace() for stretch in fast.known)
+
+
+def test_any_white_space_between_any_characters():
+    draw = np.random.default_rng(13)
+    parts = [" ", " ", " ", "\n", "\n", "\t", "\r", "\xa0", "\xad", " ", "a", "The", "\xe9t\xe9", "7", "'s", "'", ",", ".", "<|endoftext|>", "日", "́", "\x00", "\U0001f600"]
+    texts = ["".join(draw.choice(parts, draw.integers(1, 14))) for _ in range(4000)]
+    fast = Fast(VOCABULARY)
+    for at in range(0, len(texts), 200):
+        some = texts[at : at + 200]
+        assert fast.encode(some) == [np.asarray(PLAIN.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
