@@ -187,6 +187,24 @@ def test_groups_of_near_copies_against_brute_force(spark, settings):
     assert found == brute_components(sets)
 
 
+def test_classes_stay_where_they_lie_and_texts_move_to_their_readers(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df, settings = queries.table(spark, SMALL, "documents"), chosen_path.Join(words=2)
+        found = chosen_path.similar(df, settings=settings)
+        members = stored(found.classes.select(F.xxhash64("set_id").alias("node"), "set_id", F.lit(1).cast("bigint").alias("label")), "members")
+        compared = chosen_path.undecided(members, found.classes, settings)
+        checked = chosen_path.confirmed(found.links, found.classes, df, "text", "doc_id", settings)
+        for moved in (compared, checked):
+            plan = moved._jdf.queryExecution().executedPlan().toString()
+            # The members, or those who read a text, but neither classes nor texts.
+            assert plan.count("hashpartitioning(set_id") == 1
+        assert checked.count() == found.links.distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(str(i).encode(), str(i + 1).encode()) for i in range(60)]
     star = [(b"hub", f"s{i}".encode()) for i in range(40)]
