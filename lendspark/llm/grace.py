@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from lendspark.llm.common import in_arrow
+
 FANOUT_BITS = 4
 HASH_BITS = 64
 WRITE_ROWS = 256
@@ -160,7 +162,7 @@ def _merge(df: DataFrame, memory: int) -> DataFrame:
         if rows:
             yield batch_of(rows)
 
-    return df.mapInArrow(run, df.schema)
+    return in_arrow(df, run, df.schema)
 
 
 def deduplicate(

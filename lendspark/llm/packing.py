@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendspark.llm.common import in_arrow
 from lendspark.llm.tokens import tokenizer
 
 ID_BYTES = 4
@@ -128,6 +129,5 @@ def pack(df: DataFrame, settings: Packing, text: str = "text", doc_id: str = "do
         if waiting:
             yield _place_all(waiting, bins, types)
 
-    return df.select(
-        F.col(doc_id).cast("bigint"), F.coalesce(F.col(text), F.lit(""))
-    ).mapInArrow(packed, SCHEMA)
+    rows = df.select(F.col(doc_id).cast("bigint"), F.coalesce(F.col(text), F.lit("")))
+    return in_arrow(rows, packed, SCHEMA)

@@ -213,6 +213,25 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert len(roots) == 61 + 41 and len(set(roots.values())) == 2
 
 
+# --- memory of workers -----------------------------------------------------------
+
+
+def test_workers_hand_back_what_large_tasks_freed(spark):
+    psutil = pytest.importorskip("psutil")
+
+    def held():
+        """MB of the largest Python worker."""
+        of = [p for p in psutil.Process().children(recursive=True) if "pyspark.daemon" in p.cmdline()]
+        return max((p.memory_full_info().uss for p in of), default=0) / 1e6
+
+    text = F.concat_ws(" ", *[F.sha2(F.concat(F.col("id"), F.lit(f"/{k}")), 512) for k in range(16)])
+    few, many = (spark.range(n).coalesce(1).select(F.col("id").alias("doc_id"), text.alias("text")) for n in (10, 24_000))
+    assert grace.keep_one(few).count() == 10
+    before = held()
+    assert grace.keep_one(many).count() == 24_000
+    assert held() < before + 60
+
+
 # --- tokens ---------------------------------------------------------------------
 
 
