@@ -17,8 +17,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.operators.blocks import feature_blocks, held_out_scores
-from lendspark.operators.evaluation import ranking_areas_by
+from lendspark.operators.blocks import block_scores, feature_blocks
+from lendspark.operators.held_out import held_out_areas
 
 #: Settings whose effect is known here; thresholds change no score.
 KNOWN = {"scaler.max", "smoothing", "thresholds"}
@@ -133,8 +133,5 @@ def fold_metrics(df: DataFrame, folds: int, settings: Sequence[tuple[float, floa
         return None
     blocks = feature_blocks(df)
     scored = [_scored(scaling, models) for scaling, models in fitted]
-    areas = ranking_areas_by(held_out_scores(blocks, scored), ["fold", "model"])
-    found = np.zeros((folds, len(settings)))
-    for row in areas:
-        found[row["fold"], row["model"]] = row[metric]
-    return found
+    rows = sum(part.count for part in sums.values())
+    return held_out_areas(blocks, block_scores(scored), folds, len(settings), rows, metric)

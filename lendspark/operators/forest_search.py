@@ -16,8 +16,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendspark.operators.blocks import feature_blocks, held_out_scores
-from lendspark.operators.evaluation import ranking_areas_by
+from lendspark.operators.blocks import block_scores, feature_blocks
+from lendspark.operators.held_out import held_out_areas
 from lendspark.session import work_folder
 
 #: Settings that can be searched so.
@@ -117,8 +117,10 @@ def fold_metrics(
 
     ``df`` has ``features``, ``label`` and ``fold``. None if a part has not both classes.
     """
-    present = {(row["fold"], row["label"]) for row in df.select("fold", "label").distinct().collect()}
-    if present != {(fold, label) for fold in range(folds) for label in (0.0, 1.0)}:
+    counts = {
+        (row["fold"], row["label"]): row["count"] for row in df.groupBy("fold", "label").count().collect()
+    }
+    if set(counts) != {(fold, label) for fold in range(folds) for label in (0.0, 1.0)}:
         return None
     most, deepest = (max(setting[k] for setting in settings) for k in (0, 1))
     scored = []
@@ -129,8 +131,5 @@ def fold_metrics(
             own = estimator.copy().setNumTrees(most).setMaxDepth(deepest).setMinInstancesPerNode(least)
             grown[least] = trees(df.sparkSession, own.fit(part))
         scored.append(_scored(grown, settings))
-    areas = ranking_areas_by(held_out_scores(feature_blocks(df), scored), ["fold", "model"])
-    found = np.zeros((folds, len(settings)))
-    for row in areas:
-        found[row["fold"], row["model"]] = row[metric]
-    return found
+    rows = sum(counts.values())
+    return held_out_areas(feature_blocks(df), block_scores(scored), folds, len(settings), rows, metric)

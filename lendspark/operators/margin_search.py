@@ -4,7 +4,8 @@ Every fit of the search looks for the least mean hinge loss of its training part
 penalty, over standardised features. One pass over the rows gives the loss and its slope for
 the present point of all fits together, so the number of passes is that of the slowest fit
 and does not depend on the grid. Steps are those of L-BFGS; a fit ends when its values of the
-last steps agree to ``tol`` of the first one, or after ``limit`` steps. The loss has kinks, so
+last steps agree to ``tol`` of the first one, or after ``limit`` steps. Fits that differ in their
+``tol`` alone take the same steps, so they are one search that some leave earlier. The loss has kinks, so
 fits end before the very minimum, and averages of other optimisers differ a little; Spark's
 own ends higher. The depth of Spark's aggregation changes no model.
 """
@@ -21,8 +22,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendspark.operators.blocks import feature_blocks, held_out_scores, products, unpacked
-from lendspark.operators.evaluation import ranking_areas_by
+from lendspark.operators.blocks import block_scores, feature_blocks, gathered, opened, products
+from lendspark.operators.held_out import held_out_areas
 
 #: Settings whose effect is known here.
 KNOWN = {"regParam", "tol", "aggregationDepth"}
@@ -74,14 +75,17 @@ def hinge_sums(blocks: DataFrame, models: np.ndarray, folds: np.ndarray) -> np.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(models), models.shape[1] + 1))
-        for x, label, fold in unpacked(batches):
-            sign = (2 * label - 1)[:, None]
-            slack = 1 - sign * (x @ weights.T + intercepts)
-            taken = (slack > 0) & (fold[:, None] != folds)
-            pull = np.where(taken, -sign, 0.0)
-            total[:, :-2] += pull.T @ x
-            total[:, -2] += pull.sum(axis=0)
-            total[:, -1] += np.where(taken, slack, 0.0).sum(axis=0)
+        for flags, bits, numbers, label, held in opened(batches, int(folds.max()) + 1):
+            kinds = [(np.flatnonzero(flags), bits.astype(float)), (np.flatnonzero(~flags), numbers)]
+            margin = sum(weights[:, own] @ x for own, x in kinds) + intercepts[:, None]
+            sign = 2 * label - 1
+            slack = np.maximum(1 - sign * margin, 0.0)
+            taken = held.sum(axis=0) - held[folds]
+            pull = np.where(slack > 0, -sign * taken, 0.0)
+            for own, x in kinds:
+                total[:, own] += pull @ x.T
+            total[:, -2] += pull.sum(axis=1)
+            total[:, -1] += (taken * slack).sum(axis=1)
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     sums = blocks.mapInArrow(run, "sums BINARY").collect()  # one row per task
@@ -102,11 +106,13 @@ def _direction(slope: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) ->
     return down
 
 
-def least(start: np.ndarray, tol: float, limit: int) -> Generator:
-    """Yields points, is sent ``(value, slope)`` of each, and returns where it ends."""
+def least(start: np.ndarray, tols: Sequence[float], limit: int) -> Generator:
+    """Yields points, is sent ``(value, slope)`` of each, and returns where it ends for each
+    of ``tols``."""
     point = start
     value, slope = yield point
     first, recent, steps = value, [value], []
+    ends: dict[float, np.ndarray] = {}
     for _ in range(limit):
         down = _direction(slope, steps)
         if slope @ down >= 0:
@@ -132,9 +138,12 @@ def least(start: np.ndarray, tol: float, limit: int) -> Generator:
             steps = [*steps, (moved, turned)][-MEMORY:]
         point, value, slope = trial, there, its_slope
         recent = [*recent, value][-RECENT:]
-        if abs(max(recent) - value) <= tol * first:
+        for tol in tols:
+            if abs(max(recent) - value) <= tol * first:
+                ends.setdefault(tol, point)
+        if all(tol in ends for tol in tols):
             break
-    return point
+    return [ends.get(tol, point) for tol in tols]
 
 
 def fitted(
@@ -142,23 +151,30 @@ def fitted(
 ) -> np.ndarray:
     """Weights and intercept per fold and setting ``(penalty, tol)``."""
     width = len(parts[0].mean) + 1
-    fits = [(fold, penalty, tol) for fold in range(len(parts)) for penalty, tol in settings]
-    searches = {k: least(np.zeros(width), tol, limit) for k, (_, _, tol) in enumerate(fits)}
-    points = {k: next(search) for k, search in searches.items()}
-    ends: dict[int, np.ndarray] = {}
+    tols: dict[float, list[float]] = {}
+    for penalty, tol in settings:
+        tols.setdefault(penalty, []).append(tol)
+    searches = {
+        (fold, penalty): least(np.zeros(width), own, limit)
+        for fold in range(len(parts))
+        for penalty, own in tols.items()
+    }
+    points = {key: next(search) for key, search in searches.items()}
+    ends: dict[tuple[int, float, float], np.ndarray] = {}
     while points:
-        folds = np.array([fits[k][0] for k in points])
-        plain = np.array([parts[fold].plain(point) for fold, point in zip(folds, points.values())])
-        for k, sums in zip(list(points), hinge_sums(blocks, plain, folds)):
-            fold, penalty, _ = fits[k]
-            weights = np.append(points[k][:-1], 0.0)
+        folds = np.array([fold for fold, _ in points])
+        plain = np.array([parts[fold].plain(point) for (fold, _), point in points.items()])
+        for key, sums in zip(list(points), hinge_sums(blocks, plain, folds)):
+            fold, penalty = key
+            weights = np.append(points[key][:-1], 0.0)
             value = sums[-1] / parts[fold].count + penalty / 2 * (weights @ weights)
             try:
-                points[k] = searches[k].send((value, parts[fold].slope(sums[:-1]) + penalty * weights))
+                points[key] = searches[key].send((value, parts[fold].slope(sums[:-1]) + penalty * weights))
             except StopIteration as end:
-                ends[k] = parts[fold].plain(end.value)
-                del points[k]
-    return np.array([ends[k] for k in range(len(fits))]).reshape(len(parts), len(settings), width)
+                for tol, point in zip(tols[penalty], end.value):
+                    ends[(fold, penalty, tol)] = parts[fold].plain(point)
+                del points[key]
+    return np.array([[ends[(fold, *setting)] for setting in settings] for fold in range(len(parts))])
 
 
 def fold_metrics(
@@ -172,14 +188,11 @@ def fold_metrics(
     parts = training_parts(df, folds)
     if parts is None:
         return None
-    blocks = feature_blocks(df).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = gathered(feature_blocks(df)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = fitted(blocks, parts, settings, limit)
         scored = [lambda x, own=own: products(x, own[:, :-1]) + own[:, -1] for own in models]
-        areas = ranking_areas_by(held_out_scores(blocks, scored), ["fold", "model"])
+        rows = sum(part.count for part in parts) // max(folds - 1, 1)  # each is in all parts but one
+        return held_out_areas(blocks, block_scores(scored), folds, len(settings), rows, metric)
     finally:
         blocks.unpersist()
-    found = np.zeros((folds, len(settings)))
-    for row in areas:
-        found[row["fold"], row["model"]] = row[metric]
-    return found

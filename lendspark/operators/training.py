@@ -164,7 +164,7 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     Well compressed rows lie in few files, which few tasks would read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(cores, -(-df.count() // TASK_ROWS))
+    parts = cores * max(1, -(-df.count() // (cores * TASK_ROWS)))  # all cores end at once
     return df.repartition(parts, key).sortWithinPartitions(key)
 
 

@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import registry
-from lendspark.operators import bayes_search, blocks, evaluation, forest_search, margin_search, training
+from lendspark.operators import bayes_search, blocks, evaluation, forest_search, held_out, margin_search, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
 from lendspark.plans import modelling
 from lendspark.session import checkpoint_root
@@ -278,3 +278,56 @@ def test_better_than_chance_on_real_structure(data):
         training.baseline_estimator(RANDOM_FOREST).fit(data.train_balanced).transform(data.train_encoded), "rf"
     ).first()
     assert row["areaUnderROC"] > 0.6
+
+
+def test_areas_of_held_out_rows_equal_those_of_the_evaluator(spark, monkeypatch):
+    """Scores cut into many ranges, some of one value only, give the same areas."""
+    monkeypatch.setattr(held_out, "RANGE_ROWS", 100)
+    monkeypatch.setattr(held_out, "BUFFERED_ROWS", 300)
+    random.seed(5)
+    made = [(i % 3, random.choice([0.0, 0.0, round(random.random(), 2), random.random()]), i) for i in range(3000)]
+    rows = [(f, Vectors.dense(x, float(i % 2)), float(random.random() < 0.2 + x / 2)) for f, x, i in made]
+    df = spark.createDataFrame(rows, ["fold", "features", "label"])
+    packed = blocks.feature_blocks(df.repartition(4))
+    scored_by = [lambda x: np.column_stack([x[:, 0], -x[:, 0]])] * 3
+    for metric in ("areaUnderROC", "areaUnderPR"):
+        found = held_out.held_out_areas(packed, blocks.block_scores(scored_by), 3, 2, 3000, metric)
+        for fold in range(3):
+            for model, sign in enumerate((1, -1)):
+                raw = spark.createDataFrame([(sign * float(v[0]), y) for f, v, y in rows if f == fold], ["score", "label"])
+                assert found[fold, model] == pytest.approx(evaluation.ranking_areas(raw).first()[metric], abs=1e-12)
+
+
+def test_packed_rows_come_back_as_they_were(spark):
+    """Copies are counted per fold; no digit is lost, whatever bytes a column takes."""
+    random.seed(6)
+    rows = []
+    for i in range(2000):
+        x = Vectors.dense(float(i % 2), random.random(), random.randint(0, 9) / 3, i * 1.0, 1e300 * i)
+        rows += [(i, x, float(i % 5 == 0), k % 3) for k in range(1 + i % 4)]
+    df = spark.createDataFrame(rows, ["id", "features", "label", "fold"]).coalesce(1)
+    taken = blocks.feature_blocks(df).toArrow().to_batches()
+    back = [block for block in blocks.unpacked(iter(taken), 3)]
+    x, label = (np.concatenate([block[k] for block in back]) for k in (0, 1))
+    held = np.concatenate([block[2] for block in back], axis=1)
+    assert held.sum() == len(rows) and held.shape[0] == 3 and len(x) < 2010
+    again = np.repeat(np.column_stack([x, label]), held.sum(axis=0), axis=0)
+    assert (again == np.array([[*row[1], row[2]] for row in rows])).all()
+
+
+def test_fits_that_differ_in_tolerance_share_their_passes(data, spark, monkeypatch):
+    folded = bayes_search.random_folds(training.spread(data.train_balanced).persist(), 2, 1).persist()
+    parts = margin_search.training_parts(folded, 2)
+    packed = blocks.feature_blocks(folded).persist()
+    widths, own = [], margin_search.hinge_sums
+
+    def counted(rows, models, folds):
+        widths.append(len(models))
+        return own(rows, models, folds)
+
+    monkeypatch.setattr(margin_search, "hinge_sums", counted)
+    together = margin_search.fitted(packed, parts, [(0.01, 1e-6), (0.01, 1e-3)], 30)
+    assert max(widths) == 2
+    for k, tol in enumerate((1e-6, 1e-3)):
+        alone = margin_search.fitted(packed, parts, [(0.01, tol)], 30)
+        assert together[:, k] == pytest.approx(alone[:, 0], rel=1e-6, abs=1e-9)
