@@ -1,10 +1,11 @@
-"""Cross-validated search of random forests from few fits.
+"""Cross-validated search of random forests from few forests.
 
 The first trees of a forest are a forest, and a tree cut at a depth is the tree grown to that
-depth. So per fold and remaining setting one forest is fitted, of the most trees and the
-greatest depth, and its parts are scored for all smaller numbers and depths: 9 fits instead of
-81 for the default grid. The draws of a forest that is fitted alone differ, as those of another
-seed would.
+depth. So per fold and remaining setting one forest is grown, of the most trees and the
+greatest depth, and its parts are scored for all smaller numbers and depths. All of them grow
+together, see :mod:`lendspark.operators.growing`, if there are many rows; Spark fits each of
+those of few rows, and of very deep ones. The draws of a forest that is fitted alone differ,
+as those of another seed would.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendspark.operators import growing
 from lendspark.operators.blocks import block_scores, feature_blocks
 from lendspark.operators.held_out import held_out_areas
 from lendspark.session import work_folder
 
 #: Settings that can be searched so.
 KNOWN = {"numTrees", "maxDepth", "minInstancesPerNode"}
+#: Rows that a fit by Spark takes little more than its jobs for.
+FEW_ROWS = 1 << 17
 
 
 class Tree:
@@ -122,6 +126,16 @@ def fold_metrics(
     }
     if set(counts) != {(fold, label) for fold in range(folds) for label in (0.0, 1.0)}:
         return None
+    rows = sum(counts.values())
+    bounded = max(depth for _, depth, _ in settings) <= growing.DEEPEST and estimator.getMaxBins() <= growing.MOST_BINS
+    if rows > FEW_ROWS and bounded:
+        return growing.fold_metrics(df, folds, settings, metric, estimator, rows)
+    scored = fitted(df, folds, settings, estimator)
+    return held_out_areas(feature_blocks(df), block_scores(scored), folds, len(settings), rows, metric)
+
+
+def fitted(df: DataFrame, folds: int, settings: Sequence[tuple[int, int, int]], estimator: Estimator) -> list:
+    """Per fold a function that scores rows under the forests that Spark fits to the others."""
     most, deepest = (max(setting[k] for setting in settings) for k in (0, 1))
     scored = []
     for fold in range(folds):
@@ -131,5 +145,4 @@ def fold_metrics(
             own = estimator.copy().setNumTrees(most).setMaxDepth(deepest).setMinInstancesPerNode(least)
             grown[least] = trees(df.sparkSession, own.fit(part))
         scored.append(_scored(grown, settings))
-    rows = sum(counts.values())
-    return held_out_areas(feature_blocks(df), block_scores(scored), folds, len(settings), rows, metric)
+    return scored

@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks import registry
-from lendspark.operators import bayes_search, blocks, evaluation, forest_search, held_out, margin_search, training
+from lendspark.operators import bayes_search, blocks, evaluation, forest_search, growing, held_out, margin_search, training
 from lendspark.operators.training import LINEAR_SVC, NAIVE_BAYES, RANDOM_FOREST, Search
 from lendspark.plans import modelling
 from lendspark.session import checkpoint_root
@@ -331,3 +331,118 @@ def test_fits_that_differ_in_tolerance_share_their_passes(data, spark, monkeypat
     for k, tol in enumerate((1e-6, 1e-3)):
         alone = margin_search.fitted(packed, parts, [(0.01, tol)], 30)
         assert together[:, k] == pytest.approx(alone[:, 0], rel=1e-6, abs=1e-9)
+
+
+def grown_by_hand(bins, label, taken, drawn, depth, least):
+    """Splits per node of a tree, each found by counting rows one way after another."""
+    splits, at = {}, {(0, 0): np.arange(len(label))}
+    gini = lambda y, w: 1 - (np.average(y, weights=w) ** 2 + (1 - np.average(y, weights=w)) ** 2)
+    for level in range(depth):
+        for place in range(1 << level):
+            rows = at.get((level, place))
+            if rows is None:
+                continue
+            best = (0.0, None)
+            y, w = label[rows], taken[rows]
+            for feature in drawn(level, place):
+                for cut in range(bins[feature].max()):
+                    left = bins[feature][rows] <= cut
+                    if w[left].sum() < least or w[~left].sum() < least:
+                        continue
+                    parts = sum(gini(y[s], w[s]) * w[s].sum() for s in (left, ~left)) / w.sum()
+                    if gini(y, w) - parts > best[0] + 1e-12:
+                        best = (gini(y, w) - parts, (feature, cut))
+            if best[1] and 0 < np.average(y, weights=w) < 1:
+                splits[(level, place)] = best[1]
+                left = bins[best[1][0]][rows] <= best[1][1]
+                at[(level + 1, 2 * place)], at[(level + 1, 2 * place + 1)] = rows[left], rows[~left]
+    return splits
+
+
+def test_forests_grown_together_split_as_trees_grown_by_hand(spark):
+    draw = np.random.default_rng(7)
+    x = np.column_stack([draw.integers(0, 2, 1500), draw.integers(0, 40, 1500), draw.random(1500)]).astype(float)
+    y = (draw.random(1500) < 0.2 + 0.3 * x[:, 0] + 0.3 * (x[:, 1] > 25)).astype(float)
+    rows = [(Vectors.dense(v), float(t), i % 2) for i, (v, t) in enumerate(zip(x.tolist(), y))]
+    df = spark.createDataFrame(rows, ["features", "label", "fold"]).repartition(3)
+    splits = [growing.split_points(column, 8) for column in x.T]
+    assert [len(points) for points in splits] == [1, 7, 7]
+    binned = growing.binned_blocks(blocks.feature_blocks(df), splits, 2).persist()
+    grown = growing.grow(binned, 2, 3, 4, [5, 100], [len(points) + 1 for points in splits], 11)
+    assert sorted({(t.fold, t.number, least) for t in grown for least in t.leasts}) == [
+        (fold, number, least) for fold in range(2) for number in range(3) for least in (5, 100)
+    ]
+    parts = list(growing._binned(iter(binned.toArrow().to_batches()), 2))
+    table = growing._poisson_table()
+    bins = np.concatenate([part[1] for part in parts], axis=1) // 2
+    label = np.concatenate([part[2] for part in parts]).astype(float)
+    for tree in grown:
+        taken = np.concatenate(
+            [growing._bag(table, [11, tree.fold, tree.number, key], held[1 - tree.fold]) for key, _, _, held in parts]
+        )
+        at = lambda level, place: growing.drawn_features(
+            11, growing.replace(tree, open=np.array([place])), level, 3, 2
+        )[0]
+        for least in tree.leasts:
+            expected = grown_by_hand(bins, label, taken, at, 4, least)
+            inner = {
+                (level, place): (int(tree.feature[(1 << level) - 1 + place]), int(tree.cut[(1 << level) - 1 + place]) // 2)
+                for level in range(4)
+                for place in range(1 << level)
+                if tree.feature[(1 << level) - 1 + place] >= 0
+            }
+            assert inner == expected
+    # Bags take each copy once on average.
+    many = growing._bag(table, [1, 2, 3], np.full(100_000, 3))
+    assert abs(many.mean() - 3) < 0.03 and abs(many.var() - 3) < 0.06
+
+
+    # Rows end where a walk down the tree ends, and get the share of what is left of it there.
+    settings = [(1, 2, 5), (3, 4, 100), (2, 3, 5)]
+    one = parts[0]
+    batch = binned.limit(1).toArrow().to_batches()
+    for fold, found, _, held in growing.forest_scores(grown, 2, settings)(iter(batch), 1):
+        rows = np.flatnonzero(one[3][fold])
+        assert len(rows) == len(found) and held.sum() == one[3][fold].sum()
+        for column, (number, depth, least) in enumerate(settings):
+            own = [t for t in grown if t.fold == fold and least in t.leasts and t.number < number]
+            expected = [sum(walked(t, one[1][:, row], depth) for t in own) for row in rows[:200]]
+            assert found[:200, column] == pytest.approx(np.array(expected), abs=1e-12)
+
+
+def walked(tree, bins, depth):
+    """The share where a row ends; subtrees whose leaves all vote alike are leaves."""
+
+    def votes(node, level):
+        vote = bool(tree.counts[node][1] > tree.counts[node][0])
+        if level == depth or tree.feature[node] < 0:
+            return {vote}
+        return votes(2 * node + 1, level + 1) | votes(2 * node + 2, level + 1)
+
+    node = level = 0
+    while len(votes(node, level)) > 1:
+        node = 2 * node + 1 + int(bins[tree.feature[node]] > tree.cut[node])
+        level += 1
+    return tree.counts[node][1] / tree.counts[node].sum()
+
+
+def test_forests_of_a_search_need_a_pass_per_level(data, spark, monkeypatch):
+    monkeypatch.setattr(forest_search, "FEW_ROWS", 0)
+    grid = {"numTrees": [2, 4], "maxDepth": [2, 4], "minInstancesPerNode": [5, 10, 20]}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("levels", "levels")
+    found = training.tune(RANDOM_FOREST, data.train_balanced, Search(grid, folds=3))
+    jobs = len(tracker.getJobIdsForGroup("levels"))
+    spark.sparkContext.setJobGroup("refit", "refit")
+    training.search_estimator(RANDOM_FOREST).setNumTrees(4).setMaxDepth(4).fit(data.train_balanced)
+    refit = len(tracker.getJobIdsForGroup("refit"))
+    # Nine forests by Spark would take more than nine times the jobs of one.
+    assert jobs < 5 * refit and len(found.avgMetrics) == 12
+    assert all(0.4 < value < 1 for value in found.avgMetrics)
+
+
+def test_very_deep_forests_are_fitted_by_spark(data, monkeypatch):
+    monkeypatch.setattr(forest_search, "FEW_ROWS", 0)
+    few = data.train_balanced
+    search = Search({"numTrees": [1, 2], "maxDepth": [growing.DEEPEST + 1]}, folds=2)
+    assert all(0.3 < value <= 1 for value in training.tune(RANDOM_FOREST, few, search).avgMetrics)
