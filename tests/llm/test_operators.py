@@ -23,6 +23,7 @@ from lendspark.llm import (
     packing,
     queries,
     repeats,
+    shingles,
     token_counts,
     tokens,
     warc,
@@ -685,3 +686,22 @@ def test_every_stage_of_the_pipeline_keeps_exactly_what_it_should(spark):
         leaf = r["_level1"], r["_level2"]
         assert r["budget"] - max(held[leaf]) < used[leaf] + 1e-6 and used[leaf] <= r["budget"] + 1e-6
     assert set(ids["mixing"]) <= set(ids["near_dedup"])
+
+
+def test_sets_of_very_different_sizes_are_not_compared(monkeypatch):
+    """Nor is the result another than by definition, at and around the threshold."""
+    draw = np.random.default_rng(8)
+    words = draw.integers(0, 60, 4000).astype(np.uint64)
+    sets = [shingles.shingle_set(words[a : a + n], 2) for a, n in draw.integers(1, 400, (60, 2))]
+    for one in sets:
+        assert (one == np.unique(one)).all()
+        odd, shift = shingles._multipliers(192)
+        least = [min(((int(x) >> 32 ^ int(s)) * int(o)) % 2**32 for x in one) for o, s in zip(odd.ravel()[:3], shift.ravel()[:3])]
+        assert shingles.minwise(one, 192)[:3].tolist() == least
+    settings = chosen_path.Join(words=2)
+    pairs = [(one, two) for one in sets for two in sets]
+    pairs += [(one, one[: round(len(one) * share)]) for one in sets for share in (0.79, 0.8, 0.81)]
+    by_definition = lambda a, b: 100 * len(set(a) & set(b)) >= 80 * len(set(a) | set(b))
+    assert all(chosen_path._similar(a, b, settings) == by_definition(a.tolist(), b.tolist()) for a, b in pairs)
+    monkeypatch.setattr(np, "concatenate", None)
+    assert not chosen_path._similar(np.arange(7, dtype=np.uint64), np.arange(10, dtype=np.uint64), settings)
