@@ -5,8 +5,9 @@ over the rows then gives the counts of a whole level: per tree, node, drawn feat
 label. They are added up and the best splits chosen tree by tree, by the tasks that gather
 them; the driver is sent splits only. So there are as many passes as levels, whatever the grid.
 
-A tree's draws follow from the seed, its fold and its number: a Poisson number for each copy
-of a row (in 65536ths), features for each node. They do not depend on how small a node may be, so a
+A tree's draws follow from the seed and its number: a Poisson number for each copy
+of a row of its fold (in 65536ths), features for each node, the same in all folds as in fits that
+start from one seed. They do not depend on how small a node may be, so a
 tree stands for all such settings until the first split that one of them forbids.
 
 Otherwise trees are Spark's: least Gini impurity, the square root of the number of features
@@ -156,7 +157,7 @@ def drawn_features(seed: int, tree: Tree, level: int, width: int, number: int) -
     """The features that each open node of ``tree`` may split by, a row per node."""
     return np.array(
         [
-            np.random.Generator(np.random.SFC64([seed, tree.fold, tree.number, level, int(node)])).choice(
+            np.random.Generator(np.random.SFC64([seed, tree.number, level, int(node)])).choice(
                 width, number, replace=False
             )
             for node in tree.open
